@@ -9,8 +9,8 @@ within the budget is missed and nothing beyond it is reported.
 
 Letters A-Z are lower-cased and each ASCII white space counts as a space;
 offsets are code points of the original text. Null and blank items match
-nothing; null texts hold nothing. Repeated rows and items each give their own
-result rows.
+nothing; null texts hold nothing. Repeated documents each give their own result
+rows; items that share an item_id are one item with several wordings.
 """
 
 from __future__ import annotations

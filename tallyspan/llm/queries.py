@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, simhash
+from tallyspan.llm import decontam, langid, packing, simhash
+from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -18,6 +23,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_dedup, op7_benchmark_decontamination)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(fold() != 0))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_simhash_near_dedup, op7_benchmark_decontamination, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
