@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, langid, packing, simhash
+from tallyspan.llm import decontam, langid, packing, simhash, toxicity
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
@@ -14,6 +14,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs.filter(fold() != 0), labels.filter(fold() != 0))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_toxic_windows"
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -30,6 +39,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op5_simhash_near_dedup, op7_benchmark_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_toxicity, op5_simhash_near_dedup, op7_benchmark_decontamination, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
