@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, langid, packing, simhash, toxicity
+from tallyspan.llm import decontam, embed, langid, packing, simhash, toxicity
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
@@ -32,6 +32,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(fold() != 0))
@@ -39,6 +44,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_toxicity, op5_simhash_near_dedup, op7_benchmark_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_toxicity, op5_simhash_near_dedup, op7_benchmark_decontamination, op8_embedding_near_dedup, op10_language_id)}
 
 ORACLES: dict[str, str] = {}

@@ -9,7 +9,7 @@ from tallyspan.llm import decontam
 def brute(pattern, text):
     """(distance, end) of the best semi-global match, the first of equals."""
     prev = list(range(len(pattern) + 1))
-    best = (len(pattern), 0)
+    best = (len(pattern) + 1, 0)
     for j, c in enumerate(text):
         cur = [0]
         for i, p in enumerate(pattern):
@@ -24,7 +24,7 @@ def brute(pattern, text):
 @given(st.text("abc", min_size=1, max_size=90), st.text("abc", max_size=120))
 def test_myers_equals_dynamic_programming(pattern, text):
     d, end = brute(pattern, text)
-    assert (decontam.myers(pattern, text, len(pattern)) or (d, end)) == (d, end)
+    assert decontam.myers(pattern, text, len(pattern)) == ((d, end) if text else None)
     assert decontam.myers(pattern, text, d - 1) is None
 
 
