@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, embed, langid, lm, packing, simhash, toxicity
+from tallyspan.llm import decontam, embed, langid, lm, packing, pii, simhash, toxicity
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
@@ -14,6 +14,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.train(docs))
+    n = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id",
+        *[n(k) for k in pii.KINDS],
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs.filter(fold() != 0), labels.filter(fold() != 0))
@@ -50,6 +62,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
