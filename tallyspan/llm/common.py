@@ -48,6 +48,18 @@ def map_texts(
     return source.mapInArrow(run, f"{out}, {schema}")
 
 
+def filter_texts(df: DataFrame, keep: Callable[[list[str | None]], list[bool]], text: str = "text") -> DataFrame:
+    """The rows of ``df`` for which ``keep`` says True; whole rows pass through the batch, nothing is shuffled."""
+    text_batches(df.sparkSession)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep(b.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow(name: str) -> pa.DataType:
     plain = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
     if name.startswith("array<"):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import text_batches
+from tallyspan.llm.common import filter_texts, text_batches
 
 RATE = 0.05
 #: Characters of items that one pass over the texts holds in its automaton; more items mean more passes.
@@ -165,7 +165,18 @@ def contaminated(
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
-    """``docs`` without the rows whose text holds an item; rows without a key stay unless alike ones hold one."""
-    hit = contaminated(docs, items, key, text, rate=rate).select(key).distinct()
-    return docs.join(hit, docs[key].eqNullSafe(hit[key]), "left_anti").select(docs.columns)
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
+    """``docs`` without the rows whose text holds an item within its budget."""
+    for block in item_blocks(items, item_key, item_text, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        held: list[Matcher] = []
+
+        def keep(texts: list[str | None], shared=shared, held=held) -> list[bool]:
+            if not held:
+                held.append(Matcher(shared.value, rate))
+            return [next(held[0].find(t), None) is None for t in texts]
+
+        docs = filter_texts(docs, keep, text)
+    return docs

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import map_texts, text_batches
+from tallyspan.llm.common import filter_texts, map_texts, text_batches
 from tallyspan.session import materialize
 
 #: Labelled rows of each kind that training takes, chosen by a hash of the id.
@@ -199,7 +199,7 @@ def score(docs: DataFrame, model: CompressionModel, key: str = "doc_id", text: s
     return map_texts(docs, kernel, "score double, n_toxic_windows long", [key], text)
 
 
-def drop_toxic(docs: DataFrame, model: CompressionModel, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
+def drop_toxic(docs: DataFrame, model: CompressionModel, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
-    bad = score(docs, model, key, text).filter(F.col("score") >= threshold).select(F.col(key).alias("__bad")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(bad["__bad"]), "left_anti").select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_texts(docs, lambda texts: [shared.value.probability(shared.value.features(t)) < threshold for t in texts], text)
