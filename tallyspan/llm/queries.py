@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm import decontam, embed, langid, lm, packing, pii, simhash, toxicity
+from tallyspan.llm import license as license_scan
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
@@ -55,6 +56,20 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base", "found")), ",").alias("labels"),
+        F.greatest(F.col("containment"), (F.col("n_base") > 0).cast("double")).alias("score"),
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(fold() != 0))
@@ -62,6 +77,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
