@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, embed, langid, lm, packing, pii, simhash, toxicity
+from tallyspan.llm import decontam, embed, langid, lm, packing, pii, simhash, toxicity, wrapper
 from tallyspan.llm import license as license_scan
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -77,6 +82,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
