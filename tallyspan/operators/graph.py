@@ -17,8 +17,12 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
 
 
 def _star(rows: DataFrame, keep: Column) -> DataFrame:
-    """Connect the kept neighbours of every node with the smallest node around it."""
-    low = rows.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    """Connect the kept neighbours of every node with the smallest node around it.
+
+    The minima are written first: a join of two plain shuffles is one whose hot
+    keys Spark can split.
+    """
+    low = materialize(rows.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "cc-low")
     joined = rows.filter(keep).join(low, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
@@ -28,7 +32,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     The component is the smallest node that can be reached. Large-star and
     small-star rounds alternate until the edge set stands still; each round is
-    one min-aggregation (combined before the shuffle) and one equi-join, so a
+    two min-aggregations (combined before the shuffle) and two equi-joins, so a
     hub with any number of neighbours is never gathered in one task. Rows with
     a null end, self loops and repeated edges are allowed; nodes that occur
     only in self loops or null rows are not returned.
@@ -40,8 +44,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if not state[0]:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, F.col("v") > F.col("u")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(_star(both, F.col("v") > F.col("u")).distinct(), "cc-large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         moved = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(low.select("u", F.col("m").alias("v")))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
