@@ -26,7 +26,7 @@ from tallyspan.llm.common import filter_texts, text_batches
 
 RATE = 0.05
 #: Characters of items that one pass over the texts holds in its automaton; more items mean more passes.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 

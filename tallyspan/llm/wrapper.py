@@ -1,6 +1,6 @@
 """Main text of web pages by wrapper induction.
 
-A few pages of each host (``EXEMPLARS`` by a hash of id and address) are parsed
+A few different pages of each host (``EXEMPLARS`` at most, by a hash of the page) are parsed
 and aligned by simple tree matching: two nodes match if tag and class agree,
 and their children are matched in order so that the most nodes match. A text
 node of the first page that stands, with the same text, in all aligned pages is
@@ -14,8 +14,9 @@ forms, scripts, styles, and those that class, id or role names as advert,
 notice, menu, comment section or the like. If the page names its article or
 main element, only that is read.
 
-Pages are never gathered by host: the exemplars are picked by a group-limited
-window, and wrappers, a few kilobytes each, are broadcast if all of them
+Pages are never gathered by host: hashes alone pick the exemplars (the least of
+each of ``EXEMPLARS`` slots, a sum that Spark combines before the shuffle), and
+only their html is read for induction. Wrappers, a few kilobytes each, are broadcast if all of them
 together stay below ``BROADCAST_BYTES`` (else they are joined, where Spark
 splits a hot host). Null html gives an empty text, a null or broken address the
 host of its own "". Repeated rows give equal rows of their own.
@@ -31,15 +32,19 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.common import text_batches
 from tallyspan.session import materialize
 
-EXEMPLARS = 6
+EXEMPLARS = 8
 LEAST_PAGES = 3
 BROADCAST_BYTES = 64 << 20
+#: Bytes that one picked exemplar takes in a broadcast, host included.
+PICK_BYTES = 128
+#: Elements nested deeper become siblings.
+MAX_DEPTH = 200
 #: Share of the text that must vary between exemplars before equal texts count as template.
 LEAST_VARYING = 0.5
 
@@ -117,7 +122,7 @@ def parse(page: str) -> Node:
         if tag == "main" or attrs.get("role") == "main" or tag == "article":
             node.key, node.mark = node.key or tag, 2
         stack[-1].children.append(node)
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or m[3].endswith("/") or (len(stack) >= MAX_DEPTH and not boiler):
             continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
@@ -280,22 +285,30 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def exemplars(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(host, h, html)``: up to ``EXEMPLARS`` different pages of each host."""
+    src = pages.filter(F.col(html).isNotNull()).select(host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("h"), F.col(html).alias("html"))
+    slot = F.pmod(F.col("h"), F.lit(EXEMPLARS))
+    picked = materialize(src.select("host", "h").groupBy("host", slot.alias("slot")).agg(F.min("h").alias("h")).select("host", "h"), "exemplars")
+    if picked.count() * PICK_BYTES <= BROADCAST_BYTES:
+        picked = F.broadcast(picked)
+    return src.join(picked, ["host", "h"], "left_semi").groupBy("host", "h").agg(F.min("html").alias("html"))
+
+
+def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(host, wrapper)`` of the hosts that have one."""
-    src = pages.filter(F.col(html).isNotNull()).select(host_of(F.col(url)).alias("host"), F.xxhash64(key, url).alias("h"), F.col(html).alias("html"))
-    few = src.withColumn("rn", F.row_number().over(Window.partitionBy("host").orderBy("h", "html"))).filter(F.col("rn") <= EXEMPLARS)
 
     def one(k: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        made = induce(rows.sort_values("rn")["html"].tolist())
+        made = induce(rows.sort_values("h")["html"].tolist())
         return pd.DataFrame({"host": [k[0]] * (made is not None), "wrapper": [made] * (made is not None)}, dtype=object)
 
-    return few.select("host", "rn", "html").groupBy("host").applyInPandas(one, "host string, wrapper string")
+    return exemplars(pages, url, html).groupBy("host").applyInPandas(one, "host string, wrapper string")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``(key, url, host, text)``: the main text of every page."""
     text_batches(pages.sparkSession)
-    made = materialize(wrappers(pages, key, url, html), "wrappers")
+    made = materialize(wrappers(pages, url, html), "wrappers")
     size = made.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
     src = pages.select(F.col(key).alias(key), F.col(url).alias(url), host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("__html"))
     joined = src.join(F.broadcast(made) if size <= BROADCAST_BYTES else made, "host", "left").select(key, url, "host", "__html", "wrapper")
