@@ -53,3 +53,14 @@ def missing_and_stale(expected: DataFrame, stored: DataFrame, key: str) -> DataF
     a = expected.select(key).distinct().join(stored.select(key), key, "left_anti").withColumn("state", F.lit("missing"))
     b = stored.select(key).distinct().join(expected.select(key), key, "left_anti").withColumn("state", F.lit("stale"))
     return a.unionByName(b)
+
+
+def compare_counts(old: DataFrame, new: DataFrame, measures: dict[str, str]) -> DataFrame:
+    """``(measure, old_n, new_n, delta)``: all rows, and the rows of each value of each named column, in both versions."""
+
+    def counted(rows: DataFrame, alias: str) -> DataFrame:
+        names = F.array(F.lit("rows"), *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col(c).cast("string"), F.lit("?"))) for k, c in measures.items()])
+        return rows.select(F.explode(names).alias("measure")).groupBy("measure").agg(F.count(F.lit(1)).alias(alias))
+
+    both = counted(old, "old_n").join(counted(new, "new_n"), "measure", "full_outer")
+    return both.withColumn("delta", F.coalesce("new_n", F.lit(0)) - F.coalesce("old_n", F.lit(0)))

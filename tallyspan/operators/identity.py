@@ -88,3 +88,31 @@ def fold_evidence(rows: DataFrame, key: str, sets: list[str], flags: list[str],
         *[F.bool_or(c).alias(c) for c in flags],
         *[F.min_by(c, least).alias(c) for c in ranked],
     )
+
+
+def unique_pairs(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str) -> DataFrame:
+    """``(l, r)``: records whose key stands exactly once on either side."""
+    a = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(left_id).alias("l")).filter("n = 1").drop("n")
+    b = right.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(right_id).alias("r")).filter("n = 1").drop("n")
+    return a.join(b, key).select("l", "r")
+
+
+def name_key(name, noise: list[str]):
+    """The distinct words of a name in lower case and sorted, titles and particles left out."""
+    words = F.filter(F.split(F.lower(name), r"[\s#,.]+"), lambda w: (w != "") & ~w.isin(noise))
+    return F.array_join(F.array_sort(F.array_distinct(words)), " ")
+
+
+def overlay(rows: DataFrame, canonical: DataFrame, corrections: DataFrame, rec: str, person: str) -> DataFrame:
+    """``rows`` with the person of their record; a reviewed correction wins over the computed one."""
+    fixed = corrections.select(rec, F.col(person).alias("__fixed"))
+    out = rows.join(canonical.select(rec, F.col(person).alias("__own")), rec).join(fixed, rec, "left")
+    return out.withColumn(person, F.coalesce("__fixed", "__own")).drop("__fixed", "__own")
+
+
+def bind_occurrences(occurrences: DataFrame, previous: DataFrame, occ: str, now: str, before: str, pinned: str) -> DataFrame:
+    """``(occ, bound, rule)``: new ones bind as computed, pinned ones keep their person, others stay or move."""
+    both = occurrences.join(previous, occ, "left")
+    rule = F.when(F.col(before).isNull(), "new").when(F.col(before) == F.col(now), "stays").when(F.col(pinned), "kept").otherwise("moves")
+    out = both.withColumn("rule", rule)
+    return out.select(occ, F.when(F.col("rule").isin("stays", "kept"), F.col(before)).otherwise(F.col(now)).alias("bound"), "rule")

@@ -72,3 +72,12 @@ def cascade(rows: DataFrame, key: str, candidates: list[tuple[str, DataFrame]],
         picks.append(F.col(f"__{name}"))
         names.append(F.when(F.col(f"__{name}").isNotNull(), F.lit(name)))
     return out.withColumn(value, F.coalesce(*picks)).withColumn("source", F.coalesce(*names)).drop(*[f"__{n}" for n, _ in candidates])
+
+
+def rare_token_rivals(items: DataFrame, ident: str, tokens: str, least: int, most: int) -> DataFrame:
+    """``(ident, rival, rivals)``: items that share a token which ``least`` to ``most`` items have; ``rival`` is the lowest."""
+    each = items.select(ident, F.explode(tokens).alias("token"))
+    few = each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(least, most)).select("token")
+    hit = each.join(few, "token")
+    pair = hit.join(hit.select("token", F.col(ident).alias("rival")), "token").filter(F.col(ident) != F.col("rival"))
+    return pair.groupBy(ident).agg(F.min("rival").alias("rival"), F.count_distinct("rival").alias("rivals"))

@@ -79,3 +79,24 @@ def guarded_correlation(rows: DataFrame, x: str, y: str, by: list[str]) -> DataF
     ok = F.col(x).isNotNull() & F.col(y).isNotNull()
     stats = rows.filter(ok).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.var_pop(x).alias("vx"), F.var_pop(y).alias("vy"), F.corr(x, y).alias("r"))
     return stats.select(*by, "n", F.when((F.col("n") >= 3) & (F.col("vx") > 0) & (F.col("vy") > 0), F.col("r")).alias("r"))
+
+
+def measured_sum(rows: DataFrame, by: list[str], value: str, alias: str) -> DataFrame:
+    """Sums of the groups in which every row has a value; a group with an unknown has no sum."""
+    g = rows.groupBy(*by).agg(F.sum(value).alias(alias), F.count(value).alias("__known"), F.count(F.lit(1)).alias("__n"))
+    return g.filter("__known = __n").drop("__known", "__n")
+
+
+def share_bounds(rows: DataFrame, by: list[str], flag: str, digits: int = 9) -> DataFrame:
+    """The share of rows with flag 1: its bounds while flags are unknown, and the share itself once none is."""
+    g = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count(flag).alias("__known"), F.coalesce(F.sum(flag), F.lit(0)).alias("__hits"))
+    part = lambda x: F.round(x / F.col("n"), digits)
+    open_ = F.col("n") - F.col("__known")
+    return g.select(*by, "n", open_.alias("unresolved"), part(F.col("__hits")).alias("low"), part(F.col("__hits") + open_).alias("high"), F.when(open_ == 0, part(F.col("__hits"))).alias("share"))
+
+
+def most_frequent(rows: DataFrame, by: list[str], value: str, latest: Column) -> DataFrame:
+    """The value with the most rows of each key and that number; a tie goes to the value seen last."""
+    per = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), latest.alias("__last"))
+    best = per.groupBy(*by).agg(F.max_by(F.struct(value, "n"), F.struct("n", "__last")).alias("b"))
+    return best.select(*by, f"b.{value}", "b.n")
