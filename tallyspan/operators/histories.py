@@ -78,4 +78,4 @@ def sessions(rows: DataFrame, key: str, ts: str, gap: Column) -> DataFrame:
     """``rows`` with ``session``: a new one starts after more than ``gap`` seconds without a row."""
     w = Window.partitionBy(key).orderBy(ts)
     idle = F.unix_micros(F.col(ts)) - F.unix_micros(F.lag(ts).over(w))
-    return rows.withColumn("__new", F.when(idle <= gap * 1_000_000, 0).otherwise(1)).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    return rows.withColumn("__new", F.when(idle <= gap.cast("long") * 1_000_000, 0).otherwise(1)).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")

@@ -27,7 +27,8 @@ def _elements(root: ET.Element, roles: dict[str, str]) -> Iterator[tuple]:
             own = "".join(node.itertext()) if speaker is None else (speaker.tail or "")
             yield item, unit, node.tag, node.get(roles["kind"]), speaker.get("id") if speaker is not None else None, full, part("fraktion"), role, " ".join(own.split())
         for child in node:
-            yield from walk(child, item, unit)
+            if child.tag != roles["speaker"]:
+                yield from walk(child, item, unit)
 
     return walk(root, None, None)
 
