@@ -42,3 +42,11 @@ def test_article_element_wins_and_parser_survives_junk():
 def test_tree_matching_counts_nodes_in_order():
     a, b = wrapper.parse("<ul><li>1<li>2<li>3</ul><p>x"), wrapper.parse("<ul><li>1<li>3</ul><p>y<p>z")
     assert wrapper.match(a, b) == 1 + 1 + 2 * 2 + 2
+
+
+def test_deep_nesting_and_long_pages_stay_cheap():
+    deep = "<div>" * 5000 + "core" + "</div>" * 5000
+    assert wrapper.main_text(deep) == "core"
+    long = "<body>" + "".join(f"<p>par {n}</p>" for n in range(3000)) + "</body>"
+    made = wrapper.induce([f"<body><p>tagline</p><p>a{n} {'x' * 50 * n}</p></body>" for n in range(1, 6)])
+    assert len(wrapper.main_text(long, wrapper.load(made)).split("\n")) == 3000
