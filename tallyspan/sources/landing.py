@@ -46,9 +46,11 @@ def usable_cache(rows: DataFrame, fetched: str, today: Column, max_days: int, te
 
 def read_reports(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """``(reports, corrupt)``: nested JSON files by an explicit schema; unreadable ones are kept apart with their file."""
-    raw = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    raw = raw.withColumn("file", F.col("_metadata.file_path"))
-    return raw.filter("_corrupt is null").drop("_corrupt"), raw.filter("_corrupt is not null").select("file", F.col("_corrupt").alias("content"))
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    raw = text.select("file", "value", F.from_json("value", f"{schema}, _corrupt string", options).alias("r"))
+    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    return raw.filter(~bad).select("r.*", "file").drop("_corrupt"), raw.filter(bad).select("file", F.col("value").alias("content"))
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
