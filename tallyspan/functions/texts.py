@@ -76,3 +76,9 @@ def chunks(rows: DataFrame, key: str, text: str, limit: int = 900) -> DataFrame:
     before = F.coalesce(F.sum(F.length("line")).over(Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     marked = lines.withColumn("chunk", F.floor(before / limit).cast("bigint"))
     return marked.groupBy(key, "chunk").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+
+
+def only_outcome(x: C, outcomes: dict[str, str], negation: str) -> Column:
+    """The outcome whose word stands in the text, if it is the only one and nothing negates; else null."""
+    found = F.array_distinct(F.filter(F.array(*[F.when(col(x).rlike(p), F.lit(name)) for name, p in outcomes.items()]), lambda v: v.isNotNull()))
+    return F.when((F.size(found) == 1) & ~col(x).rlike(negation), found[0])

@@ -64,3 +64,13 @@ def compare_counts(old: DataFrame, new: DataFrame, measures: dict[str, str]) ->
 
     both = counted(old, "old_n").join(counted(new, "new_n"), "measure", "full_outer")
     return both.withColumn("delta", F.coalesce("new_n", F.lit(0)) - F.coalesce("old_n", F.lit(0)))
+
+
+def comparison_rollup(rows: DataFrame, by: str, left: str, right: str) -> DataFrame:
+    """Both-sided, one-sided and differing keys of each ``by``; fails where nothing stands on both sides, as that compares nothing."""
+    a, b = F.col(left), F.col(right)
+    g = rows.groupBy(by).agg(
+        F.count_if(a.isNotNull() & b.isNotNull()).alias("both_sides"), F.count_if(b.isNull()).alias("only_left"), F.count_if(a.isNull()).alias("only_right"), F.count_if(a != b).alias("differing")
+    )
+    nothing = F.raise_error(F.format_string("nothing to compare in %s", F.col(by).cast("string"))).cast("bigint")
+    return g.withColumn("both_sides", F.when(F.col("both_sides") > 0, F.col("both_sides")).otherwise(nothing))

@@ -79,3 +79,31 @@ def sessions(rows: DataFrame, key: str, ts: str, gap: Column) -> DataFrame:
     w = Window.partitionBy(key).orderBy(ts)
     idle = F.unix_micros(F.col(ts)) - F.unix_micros(F.lag(ts).over(w))
     return rows.withColumn("__new", F.when(idle <= gap.cast("long") * 1_000_000, 0).otherwise(1)).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def segments(kinds: DataFrame, texts: DataFrame, unit: str, order: str, text: str) -> DataFrame:
+    """``(unit, exchange, n_turns, n_answers, n_chars)`` of the exchanges of each unit; turns before the first question are exchange 0."""
+    both = kinds.join(texts.select(unit, order, F.length(text).alias("__len")), [unit, order])
+    return both.groupBy(unit, "exchange").agg(F.count(F.lit(1)).alias("n_turns"), F.count_if(F.col("kind") == "answer").alias("n_answers"), F.sum("__len").alias("n_chars"))
+
+
+def commit_on_finish(parts: DataFrame, unit: str, refused: Column) -> tuple[DataFrame, DataFrame]:
+    """``(accepted parts, (unit, n_refused))``: a unit's parts stand only if none of them is refused; a check that can't be told refuses."""
+    marked = parts.withColumn("__bad", F.coalesce(refused, F.lit(True)))
+    held = marked.groupBy(unit).agg(F.count_if("__bad").alias("n_refused")).filter("n_refused > 0")
+    return marked.join(held, unit, "left_anti").drop("__bad"), held
+
+
+def first_reply(turns: DataFrame, unit: str, order: str, role: str, asks: str, answers: str) -> DataFrame:
+    """``(unit, order, reply)``: each asking turn with the first later turn of the answering role, null without one."""
+    w = Window.partitionBy(unit).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    nxt = F.first(F.when(F.col(role) == answers, F.col(order)), ignorenulls=True).over(w)
+    return turns.withColumn("reply", nxt).filter(F.col(role) == asks).select(unit, order, "reply")
+
+
+def replayed(old: DataFrame, new: DataFrame, label: list[str], old_order: list[str], new_order: list[str], old_id: str, new_id: str) -> DataFrame:
+    """``(old_id, new_id)``: the n-th row of a label before is its n-th row now; rows without a counterpart have null."""
+    number = lambda o: F.row_number().over(Window.partitionBy(*label).orderBy(*o))
+    a = old.select(*label, F.col(old_id).alias("old_id"), number(old_order).alias("__n"))
+    b = new.select(*label, F.col(new_id).alias("new_id"), number(new_order).alias("__n"))
+    return a.join(b, [*label, "__n"], "full_outer").select("old_id", "new_id")

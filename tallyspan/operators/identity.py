@@ -116,3 +116,18 @@ def bind_occurrences(occurrences: DataFrame, previous: DataFrame, occ: str, now:
     rule = F.when(F.col(before).isNull(), "new").when(F.col(before) == F.col(now), "stays").when(F.col(pinned), "kept").otherwise("moves")
     out = both.withColumn("rule", rule)
     return out.select(occ, F.when(F.col("rule").isin("stays", "kept"), F.col(before)).otherwise(F.col(now)).alias("bound"), "rule")
+
+
+def presented_edges(records: DataFrame, rec: str, presented: str, ids: list[str]) -> DataFrame:
+    """``(src, dst)``: records of the same presented identity tied to their smallest, unless an id has two values among them."""
+    g = records.groupBy(presented).agg(F.min(rec).alias("dst"), *[F.count_distinct(i).alias(f"__{i}") for i in ids])
+    for i in ids:
+        g = g.filter(F.col(f"__{i}") <= 1)
+    return records.join(g.select(presented, "dst"), presented).select(F.col(rec).alias("src"), "dst").filter("src <> dst")
+
+
+def corroborated_edges(records: DataFrame, rec: str, weak: str, corroboration: str) -> DataFrame:
+    """``(src, dst)``: records that share a weak id and also the corroborating value."""
+    known = records.filter(F.col(weak).isNotNull() & F.col(corroboration).isNotNull())
+    low = known.groupBy(weak, corroboration).agg(F.min(rec).alias("dst"))
+    return known.join(low, [weak, corroboration]).select(F.col(rec).alias("src"), "dst").filter("src <> dst")

@@ -82,3 +82,11 @@ def member_flags(members: DataFrame, groups: DataFrame, vote: str) -> DataFrame:
     against = ((F.col("leading") == "yes") & (F.col("stance") == "no")) | ((F.col("leading") == "no") & (F.col("stance") == "yes"))
     joined = members.join(groups.select(vote, "grp", "state", "leading"), [vote, "grp"], "left")
     return joined.withColumn("deviates", F.when(F.col("state") == "complete", F.coalesce(against, F.lit(False)).cast("int"))).drop("state", "leading")
+
+
+def absorbable(moves: DataFrame, counts: DataFrame, vote: str, measures: tuple[str, ...] = MEASURES) -> DataFrame:
+    """``(vote, accepted)``: whether the groups can give up all moved votes; a vote whose moves exceed one count is refused as a whole."""
+    asked = moves.groupBy(vote, F.col("from_grp").alias("grp"), "stance").agg(F.count(F.lit(1)).alias("n"))
+    have = F.coalesce(*[F.when(F.col("stance") == m, F.col(m)) for m in measures])
+    fits = asked.join(counts, [vote, "grp"], "left").withColumn("fits", F.coalesce(F.col("n") <= have, F.lit(False)))
+    return fits.groupBy(vote).agg(F.bool_and("fits").alias("accepted"))

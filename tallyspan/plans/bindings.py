@@ -51,8 +51,8 @@ def _stances(rows: DataFrame, by: list[str], *more) -> DataFrame:
     return rows.groupBy(*by).agg(*[F.count_if(F.col("stance") == m).alias(m) for m in plurality.MEASURES], *more)
 
 
-def counts(spark, d: str) -> DataFrame:
-    kept = latest(spark, d).filter(~((F.col("vote") % 11 == 0) & (F.col("grp") == "G2")))
+def counts(spark, d: str, members: DataFrame | None = None) -> DataFrame:
+    kept = (latest(spark, d) if members is None else members).filter(~((F.col("vote") % 11 == 0) & (F.col("grp") == "G2")))
     rows = _stances(kept, ["vote", "grp"], F.min("member").alias("pos"))
     return rows.withColumn("yes", F.col("yes") + F.when(F.col("vote") % 7 == 0, 1).otherwise(0))
 
