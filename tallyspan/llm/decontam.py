@@ -7,8 +7,9 @@ finds these places in one pass over each text; Myers' bit-parallel algorithm
 then gives the exact distance of the best passage around every hit, so nothing
 within the budget is missed and nothing beyond it is reported.
 
-Letters A-Z are lower-cased and each ASCII white space counts as a space;
-offsets are code points of the original text. Null and blank items match
+Letters of all scripts are lower-cased (those whose lower case is longer stay)
+and each white space counts as a space; offsets are code points of the
+original text. Null and blank items match
 nothing; null texts hold nothing. Repeated documents each give their own result
 rows; items that share an item_id are one item with several wordings.
 """
@@ -27,12 +28,18 @@ from tallyspan.llm.common import filter_texts, text_batches
 RATE = 0.05
 #: Characters of items that one pass over the texts holds in its automaton; more items mean more passes.
 BLOCK_CHARS = 2_000_000
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
+_SPACES = "\t\n\x0b\x0c\r\x85\xa0"
 
 
 def fold_text(text: str) -> str:
     """Case and white space folded, one character for each character."""
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD).decode("utf-8", "surrogatepass")
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    for c in _SPACES:
+        if c in low:
+            low = low.replace(c, " ")
+    return low
 
 
 def pieces(item: str, rate: float = RATE) -> tuple[int, list[tuple[int, str]]]:

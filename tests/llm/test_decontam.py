@@ -65,3 +65,10 @@ def test_frame_edges(spark):
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
     small = decontam.contaminated(docs, items, block_chars=20)
     assert {(r.doc_id, r.item_id) for r in small.collect()} == {(1, 1), (None, 1)}
+
+
+def test_case_of_all_scripts_and_kinds_of_space_fold_one_to_one():
+    m = decontam.Matcher([(1, "Ça été très ünlöblich, mañana vençãΣ der İstanbul Straße")])
+    for t in ("xx ÇA ÉTÉ TRÈS ÜNLÖBLICH, MAÑANA VENÇÃσ DER İSTANBUL STRAßE yy", "ça\u00a0été\ntrès\tünlöblich, mañana vençãσ der İstanbul straße"):
+        assert len(decontam.fold_text(t)) == len(t)
+        assert [(i, d <= 1) for i, d, *_ in m.find(t)] == [(1, True)]
