@@ -1,9 +1,11 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
 Learning. A bounded sample of labelled rows gives, for each word, how many
-toxic and ordinary texts hold it. Words whose log-odds stand out by more than
-sqrt(2 ln V) standard errors (the largest deviation that V random words would
-show) are toxic; the most frequent words that lean to neither side are
+toxic and ordinary texts hold it, and in how many different contexts. Words
+whose log-odds stand out by either count by more than sqrt(2 ln V) standard
+errors (the largest deviation that V random words would show) are toxic; the
+least of both decides, so that no group of near copies makes its own words
+toxic. The most frequent words that lean to neither side are
 ordinary. The ordinary dictionary is made of the ordinary words, the toxic one
 of the same words and the toxic ones.
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,6 +43,8 @@ from tallyspan.session import materialize
 TOXIC_DOCS, ORDINARY_DOCS = 4_000, 12_000
 ORDINARY_WORDS = 2_500
 MIN_DOCS = 4
+#: Log-odds by which a toxic word must lean to toxic texts, besides being significant: a factor of four.
+LEAST_LIFT = math.log(4)
 #: A gain below this many bytes is within the noise of the two encoders.
 LEAST_GAIN = 5
 MEMO_WORDS = 200_000
@@ -118,36 +123,48 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, steps: int =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, toxic_docs: int, ordinary_docs: int) -> DataFrame:
-    """``(text, toxic)`` of about so many rows of each kind; the labels taken are few, and broadcast."""
+    """``(text, toxic)`` of about so many rows of each kind, equal texts once; the labels taken are few, and broadcast."""
     own = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
     n = {r["toxic"]: r["n"] for r in own.filter("toxic in (0, 1)").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pick = F.pmod(F.xxhash64(key), F.lit(1 << 20)) / F.lit(float(1 << 20))
     share = F.when(F.col("toxic") == 1, toxic_docs / max(1, n.get(1, 0))).when(F.col("toxic") == 0, ordinary_docs / max(1, n.get(0, 0))).otherwise(0.0)
     taken = own.filter(pick < share)
-    return docs.select(F.col(key), F.col(text).alias("text")).filter("text is not null").join(F.broadcast(taken), key).select("text", "toxic")
+    joined = docs.select(F.col(key), F.col(text).alias("text")).filter("text is not null").join(F.broadcast(taken), key)
+    return joined.groupBy("text").agg(F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
-    """``(word, toxic, docs, n)``: texts that hold a word and its places, for each kind of text."""
+    """``(word, toxic, docs, places, n)`` for each kind of text: texts that hold a word, its different contexts, and its occurrences.
+
+    A context is the words before and behind; each text gives one for each of
+    its words, the least by a hash. Copies and near copies give the same, so
+    that a group of them is one place, however large it is.
+    """
     text_batches(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: dict[tuple[bytes, int], list[int]] = {}
+            seen: dict[tuple[bytes, int, int], list[int]] = {}
             for t, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                own: dict[bytes, int] = {}
-                for w in words(t.as_py()):
-                    own[w] = own.get(w, 0) + 1
-                for w, n in own.items():
-                    both = seen.setdefault((w, y), [0, 0])
+                words_of = words(t.as_py())
+                own: dict[bytes, list[int]] = {}
+                for before, w, behind in zip([b"", *words_of[:-1]], words_of, [*words_of[1:], b""], strict=True):
+                    context = zlib.crc32(behind, zlib.crc32(before + b" "))
+                    held = own.setdefault(w, [context, 0])
+                    held[0] = min(held[0], context)
+                    held[1] += 1
+                for w, (context, n) in own.items():
+                    both = seen.setdefault((w, y, context), [0, 0])
                     both[0] += 1
                     both[1] += n
-            cols = [[w for w, _ in seen], [y for _, y in seen], [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
-            kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["word", "toxic", "docs", "n"])
+            cols = [*zip(*seen, strict=True)] if seen else [()] * 3
+            cols += [[v[0] for v in seen.values()], [v[1] for v in seen.values()]]
+            kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["word", "toxic", "context", "docs", "n"])
 
-    found = sample.select("text", "toxic").mapInArrow(run, "word binary, toxic int, docs long, n long")
-    return found.groupBy("word", "toxic").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    found = sample.select("text", "toxic").mapInArrow(run, "word binary, toxic int, context long, docs long, n long")
+    each = found.groupBy("word", "toxic", "context").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return each.groupBy("word", "toxic").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("places"), F.sum("n").alias("n"))
 
 
 def train(
@@ -165,14 +182,14 @@ def train(
     if not kinds.get(0) or not kinds.get(1):
         return CompressionModel([], [], [], float(1 in kinds))
     rows = materialize(word_counts(sample), "toxic-words")
-    a, b = F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, F.col("docs")).otherwise(0))
-    both = rows.groupBy("word").agg(a.alias("a"), b.alias("b"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n"))
-    total = both.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("v")).first()
+    of = lambda c, kind: F.sum(F.when(F.col("toxic") == kind, F.col(c)).otherwise(0))
+    both = rows.groupBy("word").agg(of("docs", 1).alias("a"), of("docs", 0).alias("b"), of("places", 1).alias("pa"), of("places", 0).alias("pb"), of("n", 0).alias("n"))
     odds = lambda x, t: F.log((F.col(x) + 0.5) / (F.lit(float(t)) - F.col(x) + 0.5))
-    z = (odds("a", total["a"]) - odds("b", total["b"])) / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    scored = both.filter(F.col("a") + F.col("b") >= MIN_DOCS).withColumn("z", z)
-    limit = math.sqrt(2 * math.log(max(2, total["v"])))
-    toxic = scored.filter(F.col("z") > limit).orderBy("z", "word").select("word").collect()
+    lean = lambda x, y: odds(x, kinds[1]) - odds(y, kinds[0])
+    apart = lambda x, y: lean(x, y) / F.sqrt(1 / (F.col(x) + 0.5) + 1 / (F.col(y) + 0.5))
+    scored = both.filter(F.col("a") + F.col("b") >= MIN_DOCS).select("word", "n", F.least(apart("a", "b"), apart("pa", "pb")).alias("z"), F.least(lean("a", "b"), lean("pa", "pb")).alias("lift"))
+    limit = math.sqrt(2 * math.log(max(2, both.count())))
+    toxic = scored.filter((F.col("z") > limit) & (F.col("lift") >= LEAST_LIFT)).orderBy("z", "word").select("word").collect()
     ordinary = scored.filter(F.abs("z") < 2).orderBy(F.desc("n"), "word").limit(ORDINARY_WORDS).select("word").collect()
     model = CompressionModel([bytes(r["word"]) for r in reversed(ordinary)], [bytes(r["word"]) for r in toxic], [], kinds[1] / (kinds[0] + kinds[1]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
