@@ -3,9 +3,11 @@
 Words are runs of ASCII letters and digits (A-Z lower-cased) and all other
 non-ASCII characters. Phrases are found word by word in the whole text.
 
-The join. A text block is a line; lines above ``BLOCK_WORDS`` words are cut
-into windows of that size, half overlapping. A block matches a template when it
-holds at least ``THRESHOLD`` of the template's distinct words. Tokens are put
+The join. Blocks are half-overlapping windows over the words of the whole text;
+line ends are no border. A window is twice the longest passage that a template
+may take, which is ``BLOCK_WORDS`` words or twice the words of the longest
+template, whichever is more; so every such passage lies whole in some block. A
+block matches a template when it holds at least ``THRESHOLD`` of the template's distinct words. Tokens are put
 in one global order, rarest in the corpus first. With a = ceil(THRESHOLD * |T|),
 a match must share one of the first |T| - a + 1 tokens of the template (prefix
 filter), have a tokens at least (length filter), and be able to reach a tokens
@@ -55,6 +57,7 @@ TEMPLATES = {
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0",
 }
 THRESHOLD = 0.8
+#: A template may be spread over so many words at least.
 BLOCK_WORDS = 128
 _WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -89,15 +92,20 @@ def phrase_places(own: list[bytes]) -> list[tuple[int, str]]:
     return sorted(out)
 
 
-def blocks(data: bytes, size: int = BLOCK_WORDS) -> Iterator[list[bytes]]:
-    """The words of each line, long lines in half-overlapping windows."""
-    for line in data.split(b"\n"):
-        own = words(line)
-        if len(own) <= size:
-            yield own
-        else:
-            for at in range(0, len(own) - size // 2, size // 2):
-                yield own[at : at + size]
+def passage(templates: dict[str, str] = TEMPLATES) -> int:
+    """The longest run of words that one of ``templates`` may be spread over."""
+    return max(BLOCK_WORDS, 2 * max((len(words(v.encode())) for v in templates.values()), default=0))
+
+
+def windows(own: list[bytes], half: int) -> Iterator[list[bytes]]:
+    """Half-overlapping windows of 2 * ``half`` words; each run of ``half`` words lies whole in one of them."""
+    for at in range(0, max(1, len(own) - half), half):
+        yield own[at : at + 2 * half]
+
+
+def blocks(data: bytes, templates: dict[str, str] = TEMPLATES) -> Iterator[list[bytes]]:
+    """The blocks of a text, over all of its lines."""
+    return windows(words(data), passage(templates))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -106,6 +114,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     sets = template_sets(templates)
     vocab = {w: i for i, w in enumerate(sorted(set().union(*sets.values())))}
     least = min(needed(len(s), threshold) for s in sets.values())
+    half = passage(templates)
     source = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
     kind = source.schema[key].dataType.simpleString()
     starts = {p.split()[0].encode() for p in PHRASES}
@@ -123,7 +132,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
                 first.append(places[0][0] if places else None)
                 last.append(places[-1][0] if places else None)
                 labels.append(sorted({label for _, label in places}))
-                hits = (known.intersection(block) for block in blocks(data))
+                hits = (known.intersection(block) for block in windows(own, half))
                 found.append([sorted(vocab[w] for w in h) for h in hits if len(h) >= least])
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int32()))]
             cols = [pa.array(c, t) for c, t in zip((n, base, first, last, labels, found), kinds, strict=True)]

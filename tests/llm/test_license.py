@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 from tallyspan.llm import license as lic
 
@@ -35,3 +36,32 @@ def test_join_equals_brute_force_and_edges(spark):
         assert (r.first_word, r.last_word) == ((min(places)[0], max(places)[0]) if places else (None, None))
         assert list(r.base) == sorted({x for _, x in places})
     assert lic.licenses(df.limit(0)).count() == 0
+
+
+def test_wrapped_grants_equal_brute_force_over_all_windows(spark):
+    rng = random.Random(5)
+    grants = [k for k in lic.TEMPLATES if k.endswith("grant")]
+    filler = lambda n: " ".join(rng.choice(["foo", "bar", "qux", "the", "of"]) for _ in range(n))
+    texts = {}
+    for i in range(80):
+        name = rng.choice(list(lic.TEMPLATES))
+        body = f"{filler(rng.randint(0, 400))} {lic.TEMPLATES[name]} {filler(rng.randint(0, 400))}"
+        texts[i] = (name, "".join(f"{rng.choice(['', ' * ', '# ', 'REM '])}{line}\n" for line in textwrap.wrap(body, rng.randint(30, 80))))
+    texts[80] = ("mit-notice", "Released under\nthe MIT License")
+    for name in grants:
+        texts[name] = (name, "\n\n".join(lic.TEMPLATES[name].split()))  # a word a line
+    rows = lic.licenses(spark.createDataFrame([(str(i), t) for i, (_, t) in texts.items()], "doc_id string, text string")).collect()
+    assert len(rows) == len(texts)
+    held = lambda own, size: {n for n, s in lic.template_sets().items() if any(len(s.intersection(own[a : a + size])) >= lic.needed(len(s), lic.THRESHOLD) for a in range(len(own)))}
+    by = {str(i): x for i, x in texts.items()}
+    for r in rows:
+        name, text = by[r.doc_id]
+        own = lic.words(text.encode())
+        assert name in r.found
+        assert held(own, 128) <= set(r.found) <= held(own, 256)
+
+
+def test_windows_follow_the_longest_template(spark):
+    long = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(at, "x " * at + long.replace(" ", "\n")) for at in range(0, 700, 50)], "doc_id long, text string")
+    assert all(r.found == ["long"] and r.containment == 1 for r in lic.licenses(df, templates={"long": long}).collect())
