@@ -6,19 +6,22 @@ its own tokens and word pairs, and Spark adds them up; all training texts take
 part.
 
 The model. A count c has the level 1 + floor(log2(c / floor)), and 0 below
-``floor``. A blocked Bloom filter holds (gram, 1) ... (gram, level) of every
-gram; a reader probes the levels in turn until one is missing, and so gets the
-count to within a factor of two. A level read too high needs a false positive
-at the very next level, so errors stay small. The filter is broadcast; its
-size is bounded by ``MAX_BITS``. ``floor`` is 1 for words and 2 for pairs (a
-pair seen once says no more than its words) while the filter can hold all
-levels, and doubles where it can't: grams below it then share level 0.
+``floor``, which is 1 for words and 2 for pairs (a pair seen once says no more
+than its words), however large the corpus. A blocked Bloom filter holds
+(gram, 1) ... (gram, level) of every gram; a reader probes the levels in turn
+until one is missing, and so gets the count to within a factor of two. A level
+read too high needs a false positive at the very next level, so errors stay
+small. A filter is broadcast and has at most ``MAX_BITS``. If the grams need
+more, they are split by hash into parts of that size; each part is broadcast in
+a pass of its own over the texts, and the levels that the passes read are put
+together for each different text.
 
 The probability of word b after a is w c(a, b) / c(a) + (1 - w) p(b), with counts
-read from the filter and p(b) = (c(b) + 0.5) / (N + 0.5 (V + 1)). The weight w
-depends on the level of c(a); it is the best of a grid for about ``TUNE_DOCS``
-training texts, whose own pairs are taken out of the counts by one each (deleted
-interpolation, so that a pair seen once is no evidence for itself).
+read from the filter and p(b) = (c(b) + 0.5) / (N + 0.5 (V + 1)). A token thus
+depends on three levels only, and a text on how often each triple of levels
+occurs in it. The weight w depends on the level of c(a); it is the best of a
+grid for all training texts, whose own pairs are taken out of the counts by one
+each (deleted interpolation, so that a pair seen once is no evidence for itself).
 
 The base score is exact: the most frequent tokens (at most 2^17 can make up
 2^-17 of all) are broadcast with their counts, and the others meet theirs in a
@@ -48,8 +51,10 @@ PROBES = 5
 BLOCK = 512
 SEGMENTS = 256
 FREQUENT = 1 << 17
-#: Training texts that the interpolation weights are fitted on, chosen by a hash.
-TUNE_DOCS = 3_000
+#: The least counts of words and of pairs that have a level.
+FLOORS = (1, 2)
+#: Levels take six bits of a code.
+LEVELS = 64
 GRID = np.linspace(0, 0.95, 20)
 #: Texts are hashed in groups of about so many bytes.
 GROUP_BYTES = 1 << 20
@@ -202,13 +207,44 @@ def _level_column(floors: tuple[int, int]) -> Column:
     return F.when(F.col("n") >= floor, F.floor(F.log2(F.col("n") / floor)) + 1).otherwise(0)
 
 
-def build_filter(counts: DataFrame, max_bits: int = MAX_BITS) -> LogBloom:
-    """The filter of all grams of ``counts``, made in segments by the executors; the driver joins the segments."""
+def _level_counts(counts: DataFrame) -> list:
+    """Grams by kind and by floor(log2) of their counts."""
     odd = F.col("h").bitwiseAND(1)
-    hist = counts.groupBy(odd.alias("odd"), F.floor(F.log2("n")).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return counts.groupBy(odd.alias("odd"), F.floor(F.log2("n")).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
+def part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each gram when the filter is split."""
+    return (mix(h * np.uint64(5)) >> np.uint64(11)) % np.uint64(parts)
+
+
+def filter_parts(counts: DataFrame, max_bits: int = MAX_BITS) -> int:
+    """Filters of ``max_bits`` that all grams with all their levels need."""
+    n = sum(r["n"] * max(0, r["l"] - int(math.log2(FLOORS[r["odd"]])) + 1) for r in _level_counts(counts))
+    return max(1, math.ceil(n * BITS_PER_ENTRY / max_bits))
+
+
+def part_counts(counts: DataFrame, part: int, parts: int) -> DataFrame:
+    """The grams of one part."""
+    if parts == 1:
+        return counts
+
+    def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f[part_of(f["h"].to_numpy().view(np.uint64), parts) == part]
+
+    return counts.select("h", "n").mapInPandas(own, "h long, n long")
+
+
+def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, raise_floors: bool = True) -> LogBloom:
+    """The filter of all grams of ``counts``, made in segments by the executors; the driver joins the segments.
+
+    Where they need more than ``max_bits``, floors rise if ``raise_floors``; else ``FLOORS`` hold and grams share bits.
+    """
+    hist = _level_counts(counts)
     floors = [0, 1]  # as powers of two
     entries = lambda: sum(r["n"] * max(0, r["l"] - floors[r["odd"]] + 1) for r in hist)
-    while (n := entries()) * BITS_PER_ENTRY > max_bits:
+    while (n := entries()) * BITS_PER_ENTRY > max_bits and raise_floors:
         own = [sum(r["n"] * (r["l"] >= floors[k]) for r in hist if r["odd"] == k) for k in (0, 1)]
         floors[int(own[1] >= own[0])] += 1
     bits = min(max_bits, max(BLOCK * SEGMENTS, 1 << math.ceil(math.log2(max(1, n * BITS_PER_ENTRY)))))
@@ -234,114 +270,205 @@ def build_filter(counts: DataFrame, max_bits: int = MAX_BITS) -> LogBloom:
     return made
 
 
-class Reader:
-    """Counts and probabilities of texts as the filter tells them."""
+def exact_counts(known: np.ndarray, uniq: np.ndarray) -> np.ndarray:
+    """The counts of the broadcast tokens (rows of hash and count, in order of hash), 0 for others."""
+    if not len(known):
+        return np.zeros(len(uniq), np.int64)
+    held = known[:, 0].view(np.uint64)
+    i = np.minimum(np.searchsorted(held, uniq), len(held) - 1)
+    return np.where(held[i] == uniq, known[:, 1][i], 0)
+
+
+def read_levels(bloom: LogBloom, h: np.ndarray, part: int = 0, parts: int = 1) -> np.ndarray:
+    """The levels of grams as one part of the filter tells them, 0 for grams of other parts."""
+    if parts == 1:
+        return np.minimum(bloom.levels(h), LEVELS - 1).astype(np.uint8)
+    out = np.zeros(len(h), np.uint8)
+    mine = np.flatnonzero(part_of(h, parts) == part)
+    out[mine] = np.minimum(bloom.levels(h[mine]), LEVELS - 1)
+    return out
+
+
+def level_codes(word: np.ndarray, pair: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, times, first code of each text and the end): the triples (context, pair, word level) of each text.
+
+    A text starts where another ended, so its first context is its own end token.
+    """
+    ends = np.cumsum(size)
+    starts = ends - size
+    ctx = np.concatenate([[0], word[:-1]]).astype(np.int64)
+    ctx[starts] = word[ends - 1]
+    code = (ctx * LEVELS + pair) * LEVELS + word
+    both, times = np.unique(np.repeat(np.arange(len(size)), size) * LEVELS**3 + code, return_counts=True)
+    return (both % LEVELS**3).astype(np.int32), times.astype(np.int32), np.searchsorted(both // LEVELS**3, np.arange(len(size) + 1))
+
+
+def code_scores(codes: np.ndarray, times: np.ndarray, all_tokens: float) -> np.ndarray:
+    """log10 of the probability behind each code, by weights that are best for training tokens with these codes."""
+    made = LogBloom(BLOCK, FLOORS)
+    level = np.arange(LEVELS)
+    of_word, of_pair = (made.count(np.full(LEVELS, k, np.uint64), level) for k in (0, 1))
+    gain = np.zeros((LEVELS, len(GRID)))
+    for at in range(0, len(codes), 1 << 14):
+        c, n = codes[at : at + (1 << 14)], times[at : at + (1 << 14)]
+        ctx = c // LEVELS**2
+        seen, p1 = of_word[ctx], (of_word[c % LEVELS] + 0.5) / all_tokens
+        ratio = np.maximum(np.minimum(of_pair[c // LEVELS % LEVELS], seen) - 1, 0) / np.maximum(seen - 1, 1)
+        np.add.at(gain, ctx, n[:, None] * np.log(GRID[None, :] * ratio[:, None] + (1 - GRID[None, :]) * p1[:, None]))
+    weights = GRID[gain.argmax(1)]
+    weights[0] = 0.0
+    seen, both = of_word[:, None], np.minimum(of_pair[None, :], of_word[:, None])
+    told = weights[:, None] * both / np.maximum(seen, 1)
+    return np.log10(told[:, :, None] + (1 - weights[:, None, None]) * (of_word + 0.5)[None, None, :] / all_tokens).ravel()
+
+
+def _lists(x: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
+    return [x[i:j] for i, j in zip(cut, cut[1:], strict=False)]
+
+
+def part_levels(source: DataFrame, bloom, part: int, parts: int) -> DataFrame:
+    """``(digest, levels)``: the levels of all words and then of all pairs of each text, as far as they lie in one part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for _, own in groups(b.column(1).to_pylist()):
+                tokens, size = hash_tokens(own)
+                uniq, back = np.unique(tokens, return_inverse=True)
+                cut = np.concatenate([[0], np.cumsum(size)])
+                word = _lists(read_levels(bloom.value, uniq, part, parts)[back], cut)
+                pair = _lists(read_levels(bloom.value, hash_pairs(tokens, size)[1], part, parts), cut)
+                out += [x.tobytes() + y.tobytes() for x, y in zip(word, pair, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["digest", "levels"])
+
+    return source.select("digest", "__text").mapInArrow(run, "digest string, levels binary")
+
 
-    def __init__(self, bloom: LogBloom, known: np.ndarray, total: int, kinds: int):
-        known = known[np.argsort(known[:, 0].view(np.uint64))]
-        self.bloom, self.known_h, self.known_n = bloom, known[:, 0].view(np.uint64), known[:, 1]
-        self.all, self.end_level = total + 0.5 * (kinds + 1), int(bloom.levels(np.array([END]))[0])
+def split_codes(source: DataFrame, counts: DataFrame, max_bits: int, parts: int) -> DataFrame:
+    """``(digest, codes, code_times)`` of each different text, one pass over the texts for each part of the filter."""
+    spark = source.sparkSession
+    read = None
+    for part in range(parts):
+        bloom = spark.sparkContext.broadcast(build_filter(part_counts(counts, part, parts), max_bits, raise_floors=False))
+        one = materialize(part_levels(source, bloom, part, parts), "lm-levels")
+        bloom.destroy()
+        read = one if read is None else read.unionAll(one)
 
-    def exact(self, uniq: np.ndarray) -> np.ndarray:
-        """The counts of the broadcast tokens, 0 for others."""
-        if not len(self.known_h):
-            return np.zeros(len(uniq), np.int64)
-        i = np.minimum(np.searchsorted(self.known_h, uniq), len(self.known_h) - 1)
-        return np.where(self.known_h[i] == uniq, self.known_n[i], 0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes, times = [], []
+            for x in b.column(1):
+                both = np.bitwise_or.reduce([np.frombuffer(y.as_py(), np.uint8) for y in x.values])
+                n = len(both) // 2
+                c, t, _ = level_codes(both[:n], both[n:], np.array([n]))
+                codes.append(c)
+                times.append(t)
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, kind), pa.array(times, kind)], names=["digest", "codes", "code_times"])
 
-    def read(self, tokens: np.ndarray, size: np.ndarray, uniq: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(pair count, context count, context level, word probability) of each token; a text starts where another ended."""
-        level = self.bloom.levels(uniq)
-        c1 = self.bloom.count(uniq, level)
-        starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-        ctx = np.concatenate([[0], level[back][:-1]])
-        ctx[starts] = self.end_level
-        _, pairs = hash_pairs(tokens, size)
-        both = self.bloom.count(pairs, self.bloom.levels(pairs))
-        seen = self.bloom.count(np.zeros(1, np.uint64), ctx)
-        return np.minimum(both, seen), seen, ctx, (c1[back] + 0.5) / self.all
+    # copies of a text have equal levels, which the set holds once
+    return read.groupBy("digest").agg(F.collect_set("levels").alias("levels")).mapInArrow(run, "digest string, codes array<int>, code_times array<int>")
 
 
-def tune(sample: DataFrame, shared, text: str = "text") -> np.ndarray:
-    """The interpolation weight of each context level, fitted on ``sample`` with its own pairs deleted."""
+def code_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, times) over all ``rows (codes, code_times)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
-        gain = np.zeros((64, len(GRID)))
+        held = np.zeros(LEVELS**3, np.int64)
         for b in batches:
-            for _, own in groups(b.column(0).to_pylist()):
-                tokens, size = hash_tokens(own)
-                uniq, back = np.unique(tokens, return_inverse=True)
-                both, seen, level, p1 = reader.read(tokens, size, uniq, back)
-                ratio = np.maximum(both - 1, 0) / np.maximum(seen - 1, 1)
-                logs = np.log(GRID[None, :] * ratio[:, None] + (1 - GRID[None, :]) * p1[:, None])
-                np.add.at(gain, level, logs)
-        at, k = np.meshgrid(np.arange(64), np.arange(len(GRID)), indexing="ij")
-        yield pa.RecordBatch.from_arrays([pa.array(x.ravel(), t) for x, t in ((at, pa.int32()), (k, pa.int32()), (gain, pa.float64()))], names=["level", "k", "gain"])
-
-    rows = sample.select(F.col(text).cast("string")).mapInArrow(run, "level int, k int, gain double").groupBy("level", "k").agg(F.sum("gain").alias("gain"))
-    gain = np.zeros((64, len(GRID)))
-    for r in rows.collect():
-        gain[r["level"], r["k"]] = r["gain"]
-    return GRID[gain.argmax(1)]
-
-
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, tune_docs: int = TUNE_DOCS) -> DataFrame:
-    """``(key, n_tokens, n_known, train_tokens, base_score, score)``, one row per row of ``docs``."""
+            np.add.at(held, b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy())
+        code = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(held[code])], names=["code", "n"])
+
+    sums = rows.select("codes", "code_times").mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    both = np.array(sorted((r["code"], r["n"]) for r in sums.collect()), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """``(key, n_tokens, n_known, train_tokens, base_score, score)``, one row per row of ``docs``.
+
+    ``training`` is a table of its own, or a condition on ``docs``, whose texts are then read once less.
+    """
     spark = docs.sparkSession
     text_batches(spark)
-    counts = materialize(gram_counts(training, text).filter("h & 1 = 0 or n > 1"), "lm-counts")
+    within = isinstance(training, Column)
+    columns = lambda df, k, live, train: df.select(k.alias(key), live.alias("live"), train.alias("train"), F.col(text).cast("string").alias("__text"))
+    source = columns(docs, F.col(key), F.lit(True), F.coalesce(training, F.lit(False)) if within else F.lit(False))
+    kind = source.schema[key].dataType.simpleString()
+    if not within:
+        source = source.unionAll(columns(training, F.lit(None).cast(kind), F.lit(False), F.lit(True)))
+    counts = materialize(gram_counts(docs.filter(training) if within else training, text).filter("h & 1 = 0 or n > 1"), "lm-counts")
     vocab = counts.filter("h & 1 = 0")
-    sums = vocab.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("h") == int(END), F.col("n"))).alias("texts")).first()
+    sums = vocab.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds = sums["n"] or 0, sums["v"]
     floor = total // FREQUENT
     top = vocab.filter(F.col("n") > floor) if total else vocab.limit(0)  # fewer than FREQUENT tokens can be above it
     common = np.array([(r["h"], r["n"]) for r in top.toLocalIterator()], np.int64).reshape(-1, 2)
-    shared = spark.sparkContext.broadcast((build_filter(counts, max_bits), common, total, kinds))
-    share = F.pmod(F.xxhash64(F.lit("tune"), text), F.lit(1 << 20)) < int((1 << 20) * min(1.0, tune_docs / max(1, sums["texts"] or 0)))
-    weights = tune(training.filter(share), shared, text)
-    source = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
-    kind = source.schema[key].dataType.simpleString()
-    all_log = math.log10(total + 0.5 * (kinds + 1))
+    common = common[np.argsort(common[:, 0].view(np.uint64))]
+    parts = filter_parts(counts, max_bits)
+    shared = spark.sparkContext.broadcast((build_filter(counts, max_bits, raise_floors=False) if parts == 1 else None, common))
+    digest = F.md5(F.coalesce(F.col("__text"), F.lit("")).cast("binary")) if parts > 1 else F.lit(None).cast("string")
+    source = source.select(key, "live", "train", digest.alias("digest"), "__text")
+    all_tokens = total + 0.5 * (kinds + 1)
+    all_log = math.log10(all_tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
+        bloom, known = shared.value
         for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for _, own in groups(b.column(1).to_pylist()):
+            out: list[list] = [[], [], [], [], [], [], []]
+            for _, own in groups(b.column(4).to_pylist()):
                 tokens, size = hash_tokens(own)
                 starts = np.concatenate([[0], np.cumsum(size)[:-1]])
                 doc = np.repeat(np.arange(len(own)), size)
                 uniq, back = np.unique(tokens, return_inverse=True)
-                exact = reader.exact(uniq)[back]
+                exact = exact_counts(known, uniq)[back]
                 base = np.where(exact > 0, np.log10(exact + 0.5), 0.0)
-                both, seen, level, p1 = reader.read(tokens, size, uniq, back)
-                w = np.where(seen > 0, weights[level], 0.0)
-                model = np.log10(w * both / np.maximum(seen, 1) + (1 - w) * p1)
                 rare = exact == 0
                 code, times = np.unique(doc[rare].astype(np.int64) * len(uniq) + back[rare], return_counts=True)
                 cut = np.searchsorted(code // len(uniq), np.arange(len(own) + 1))
-                hashes = uniq[code % len(uniq)].view(np.int64)
                 out[0] += size.tolist()
                 out[1] += np.add.reduceat((exact > 0).astype(np.int64), starts).tolist()
                 out[2] += np.add.reduceat(base, starts).tolist()
-                out[3] += np.add.reduceat(model, starts).tolist()
-                out[4] += [hashes[x:y] for x, y in zip(cut, cut[1:], strict=False)]
-                out[5] += [times[x:y].astype(np.int32) for x, y in zip(cut, cut[1:], strict=False)]
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                out[3] += _lists(uniq[code % len(uniq)].view(np.int64), cut)
+                out[4] += _lists(times.astype(np.int32), cut)
+                if bloom is None:
+                    out[5] += [None] * len(own)
+                    out[6] += [None] * len(own)
+                else:
+                    codes, n, cut = level_codes(read_levels(bloom, uniq)[back], read_levels(bloom, hash_pairs(tokens, size)[1]), size)
+                    out[5] += _lists(codes, cut)
+                    out[6] += _lists(n, cut)
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 3]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]],
-                names=[key, "n_tokens", "known", "base", "score", "rare", "times"],
+                [*[b.column(i) for i in range(4)], *[pa.array(c, t) for c, t in zip(out, types, strict=True)]],
+                names=[key, "live", "train", "digest", "n_tokens", "known", "base", "rare", "times", "codes", "code_times"],
             )
 
-    schema = f"`{key}` {kind}, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
-    rows = materialize(source.mapInArrow(run, schema).withColumn("__rid", F.monotonically_increasing_id()), "lm-rows")
+    schema = f"`{key}` {kind}, live boolean, train boolean, digest string, n_tokens long, known long, base double, rare array<long>, times array<int>, codes array<int>, code_times array<int>"
+    read = materialize(source.mapInArrow(run, schema).withColumn("__rid", F.monotonically_increasing_id()), "lm-rows")
+    coded = read
+    if parts > 1:
+        coded = read.drop("codes", "code_times").join(materialize(split_codes(source, counts, max_bits, parts), "lm-codes"), "digest")
+    table = spark.sparkContext.broadcast(code_scores(*code_counts(coded.filter("train")), all_tokens))
+    rows = read.filter("live")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c, n = b.column(4), b.column(5)
+            size = np.array([len(x) for x in c], np.int64)
+            each = table.value[c.flatten().to_numpy()] * n.flatten().to_numpy()
+            sums = np.add.reduceat(each, np.cumsum(size) - size) if len(size) else each
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(4)], b.column(6), pa.array(sums)], names=["__rid", key, "n_tokens", "known", "base", "score"])
+
+    schema = f"__rid long, `{key}` {kind}, n_tokens long, known long, base double, score double"
+    scored = coded.filter("live").select("__rid", key, "n_tokens", "known", "codes", "code_times", "base").mapInArrow(add, schema)
     each = rows.select("__rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("__rid", F.col("x.rare").alias("h"), F.col("x.times").alias("t"))
     met = each.join(vocab, "h", "left").groupBy("__rid").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("t")).otherwise(0)).alias("more"),
         F.sum(F.col("t") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rest"),
     )
-    done = rows.select("__rid", key, "n_tokens", "known", "base", "score").join(met, "__rid", "left")
+    done = scored.join(met, "__rid", "left")
     return done.select(
         key,
         "n_tokens",

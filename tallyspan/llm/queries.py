@@ -48,7 +48,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = lm.score(docs, docs.filter(fold() != 1))
+    found = lm.score(docs, fold() != 1)
     return found.select("doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

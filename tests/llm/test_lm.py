@@ -56,3 +56,37 @@ def test_small_filter_raises_its_floor_and_stays_within_bits(spark):
     df = spark.range(20_000).selectExpr("shiftleft(xxhash64(id), 1) as h", "cast(1 + id % 40 as long) as n")
     assert lm.build_filter(df, 1 << 17).data.nbytes * 8 <= 1 << 17
     assert lm.build_filter(df, 1 << 17).floors[0] > 1
+
+
+def test_a_split_filter_scores_like_a_whole_one(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words[int(3000 * rng.random() ** 3)] for _ in range(rng.randint(0, 120))) for _ in range(2000)] + [None, "", "x " * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:9] * 3)], "doc_id long, text string")
+    train = "doc_id % 5 <> 1"
+    whole = sorted(map(tuple, lm.score(df, df.filter(train)).collect()))
+    inner = sorted(map(tuple, lm.score(df, lm.F.expr(train)).collect()))
+    counts = lm.gram_counts(df.filter(train)).filter("h & 1 = 0 or n > 1")
+    assert lm.filter_parts(counts, 1 << 17) > 1 and lm.build_filter(counts, 1 << 17).floors != lm.FLOORS
+    split = sorted(map(tuple, lm.score(df, df.filter(train), max_bits=1 << 17).collect()))
+    assert len(whole) == len(split) == df.count()
+    assert all(math.isclose(x, y, rel_tol=1e-9) for a, b in zip(whole, inner, strict=True) for x, y in zip(a, b, strict=True))
+    assert all(a[:4] == b[:4] for a, b in zip(whole, split, strict=True))
+    # false positives only; raised floors lose 1 %
+    assert math.isclose(sum(a[5] for a in whole), sum(b[5] for b in split), rel_tol=2e-3)
+    assert sorted(abs(b[5] / a[5] - 1) for a, b in zip(whole, split, strict=True))[len(whole) * 98 // 100] < 0.05
+
+
+def test_weights_are_fitted_on_all_training_texts(spark):
+    """4,000 texts, each of them in the histogram of codes."""
+    df = spark.range(4000).selectExpr("id as doc_id", "concat('a b ', id % 50) as text")
+    bloom = spark.sparkContext.broadcast(lm.build_filter(lm.gram_counts(df)))
+    both = lm.part_levels(df.selectExpr("text as digest", "text as __text"), bloom, 0, 1).collect()
+    assert len(both) == 4000 and {len(r.levels) for r in both} == {8}
+    held = []
+    real, lm.code_scores = lm.code_scores, lambda codes, times, n: held.append(times.sum()) or real(codes, times, n)
+    try:
+        lm.score(df, df).count()
+    finally:
+        lm.code_scores = real
+    assert held == [16000]
