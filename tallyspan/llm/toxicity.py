@@ -50,8 +50,8 @@ from tallyspan.session import materialize
 #: Labelled rows of each kind that training takes, chosen by a hash of the id.
 TOXIC_DOCS, ORDINARY_DOCS = 4_000, 12_000
 #: Words of a window, bytes of a gram, and bytes that the dictionaries may have.
-WINDOW, GRAM = 8, 5
-ORDINARY_BYTES, TOXIC_BYTES = 1 << 16, 1 << 12
+WINDOW, GRAM = 8, 6
+ORDINARY_BYTES, TOXIC_BYTES = 1 << 15, 1 << 12
 #: Windows of ordinary texts that train their dictionary.
 TRAIN_WINDOWS = 80_000
 #: A gram of the toxic samples must be so many times as frequent in toxic texts.

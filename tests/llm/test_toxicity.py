@@ -59,10 +59,10 @@ def test_marked_grams_and_stretches(spark):
     sample = spark.createDataFrame([(t, y, i % 2) for i, t, y in rows], "text string, toxic int, fold int")
     sizes = {f: tuple(sum(y == k and i % 2 == f for i, _, y in rows) for k in (0, 1)) for f in (0, 1)}
     marked, half = toxicity.marked_grams(toxicity.gram_counts(sample), sizes, [-1, 0])
-    assert b" vile" in half
-    assert b" vile" in marked and toxicity.stretches([b"vilewort", b"zzzz"], marked) == b" vilewort "
+    assert b" vilew" in half
+    assert b" vilew" in marked and toxicity.stretches([b"vilewort", b"zzzz"], marked) == b" vilewort "
     seen = {(r.gram, r.fold): (r.a, r.b) for r in toxicity.gram_counts(sample).collect()}
-    assert seen[b" vile", 1] == (sum("vilewort" in t for i, t, _ in rows if i % 2), 0)
+    assert seen[b" vilew", 1] == (sum("vilewort" in t for i, t, _ in rows if i % 2), 0)
 
 
 def test_near_copies_are_one_text_of_the_sample(spark):
