@@ -9,19 +9,27 @@ plan needs.
 The plan is a configuration LP: choose how often each combination of lengths
 that fits a sequence is used, so that all pieces are covered with as few
 sequences as possible. Multiplicative weights solve it: each round prices the
-lengths, a knapsack dynamic program finds the combination of the highest
-price, it is used more often, and the prices of what it covers fall. The
-solution is rounded down to whole sequences, and the pieces left over are
-placed by best fit. Best fit alone is tried too, and the smaller plan wins.
+lengths, knapsack dynamic programs find the combinations of the highest price,
+and the prices of lengths rise by the room that their combinations waste. The
+solution is rounded to whole sequences, the knapsack makes more of the pieces
+left over, and best fit places the last ones; ``solve`` also gives a proven
+lower bound.
 
 Ranks within a length come from salted counts, so that a length which a third
-of all pieces have is no task of its own. Null texts are empty and give one
-piece with only the end id. Repeated rows are packed as rows of their own.
+of all pieces have is no task of its own.
+
+Null texts are empty and give one piece with only the end id. Very long texts
+are encoded whole and cut into pieces of their own. Ties: pieces of equal
+length are dealt by a stored random number, so which of them share a sequence
+may differ between runs, the number of sequences may not. Repeated rows are
+packed as rows of their own. An empty table gives no piece. Only the key and
+the text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +49,10 @@ SPECIAL_ID = 50256
 #: Rows that one rank bucket holds on average, until a length has MAX_BUCKETS buckets; then they grow.
 BUCKET_ROWS = 100
 MAX_BUCKETS = 1 << 16
+#: The power of a length that is its first price.
+LONGER = 1.05
+#: Shares of the columns, in order of use, that are tried before best fit takes over.
+SHARES = (1.0, 0.98, 0.95, 0.9, 0.8)
 
 
 @lru_cache(1)
@@ -109,23 +121,99 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     return source.mapInArrow(run, schema)
 
 
-def _knapsack(price: np.ndarray, size: int) -> list[int]:
-    """Lengths, repeats included, of the combination within ``size`` that has the highest total price."""
+def _knapsack(price: np.ndarray, items: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(highest total price within each capacity, the first length taken there; 0 for none) over the sorted lengths ``items``."""
     best, take = np.zeros(size + 1), np.zeros(size + 1, np.int64)
-    for c in range(1, size + 1):
-        gain = price[1 : c + 1] + best[c - 1 :: -1] if c > 1 else price[1:2] + best[:1]
-        k = int(gain.argmax())
-        best[c], take[c] = gain[k], k + 1
-        if best[c - 1] >= best[c]:
-            best[c], take[c] = best[c - 1], 0
-    out, c = [], size
-    while c:
-        if take[c]:
-            out.append(int(take[c]))
-            c -= int(take[c])
+    worth, upto = price[items], np.searchsorted(items, np.arange(size + 1), "right")
+    for c in range(int(items[0]), size + 1):
+        k = upto[c]
+        gain = worth[:k] + best[c - items[:k]]
+        i = int(gain.argmax())
+        if gain[i] > best[c - 1]:
+            best[c], take[c] = gain[i], items[i]
         else:
-            c -= 1
-    return out
+            best[c] = best[c - 1]
+    return best, take
+
+
+def _columns(price: np.ndarray, items: np.ndarray, size: int, near: float) -> Iterator[tuple[tuple[int, ...], dict[int, int]]]:
+    """The combinations that one knapsack table gives, each with its lengths counted.
+
+    For each length the best one that holds it, as far as its price comes
+    within ``near`` of the highest; the highest comes first.
+    """
+    best, take = _knapsack(price, items, size)
+    total = price[items] + best[size - items]
+    seen = set()
+    for first in items[np.argsort(-total, kind="stable")][: int((total >= (1 - near) * total.max()).sum())]:
+        fill, c = [int(first)], size - int(first)
+        while c > 0:
+            if take[c]:
+                fill.append(int(take[c]))
+                c -= int(take[c])
+            else:
+                c -= 1
+        key = tuple(sorted(fill, reverse=True))
+        if key not in seen:
+            seen.add(key)
+            yield key, {x: fill.count(x) for x in set(fill)}
+
+
+def _cover(need: np.ndarray, price: np.ndarray, size: int, near: float, whole: bool) -> tuple[list[tuple[tuple[int, ...], float]], np.ndarray, float]:
+    """(columns with their amounts, what is left, highest price of a column while all lengths are there).
+
+    Columns are priced over the lengths that are left and used until one of
+    their lengths is used up, so the amounts cover ``need`` exactly; if
+    ``whole``, only in whole numbers, which may leave something.
+    """
+    left, used, top = need.astype(float), [], 0.0
+    while len(items := np.flatnonzero(left >= (1 if whole else 1e-9))):
+        before = len(used)
+        for key, times in _columns(price, items, size, near):
+            top = top or sum(price[x] * t for x, t in times.items())
+            amount = min(left[x] / t for x, t in times.items())
+            if whole:
+                amount = float(int(amount))
+            if amount > 1e-9:
+                used.append((key, amount))
+                for x, t in times.items():
+                    left[x] -= amount * t
+        if len(used) == before:
+            break
+    return used, left, top
+
+
+def solve(need: np.ndarray, size: int = SIZE, rounds: int = 8, rate: float = 1.0, near: float = 0.01, gap: float = 0.0005) -> tuple[list[tuple[tuple[int, ...], float]], float]:
+    """(columns of the configuration LP with their amounts, a proven lower bound of its value).
+
+    Prices begin a little above proportion to the lengths, so that short pieces
+    are kept to fill what long ones leave. In each round the knapsack
+    prices columns until all lengths are covered, and the price of a length is
+    multiplied by exp(rate * waste), where waste is the share of room that its
+    columns leave empty. The prices of any round bound the LP from below: no
+    column is worth more than the highest, so the worth of all lengths takes at
+    least so many. Columns within ``near`` of the highest price are taken
+    together, less in later rounds. Rounds end when bound and value are within
+    ``gap``.
+    """
+    items = np.flatnonzero(need)
+    price = np.zeros(size + 1)
+    price[items] = (items / size) ** LONGER
+    best, low = (math.inf, []), float((need * np.arange(size + 1)).sum()) / size
+    for r in range(rounds):
+        used, _, top = _cover(need, price, size, near / (1 + r), False)
+        low = max(low, float((price * need).sum()) / top)
+        value = sum(amount for _, amount in used)
+        if value < best[0]:
+            best = (value, used)
+        if best[0] <= low * (1 + gap):
+            break
+        waste = np.zeros(size + 1)
+        for key, amount in used:
+            for x in key:
+                waste[x] += amount * (1 - sum(key) / size)
+        price[items] *= np.exp(rate * waste[items] / need[items])
+    return best[1], low
 
 
 def _best_fit(left: np.ndarray, size: int) -> list[tuple[list[int], int]]:
@@ -148,37 +236,69 @@ def _best_fit(left: np.ndarray, size: int) -> list[tuple[list[int], int]]:
     return plan
 
 
-def plan(counts: dict[int, int], size: int = SIZE, rounds: int = 200, step: float = 0.25) -> list[tuple[list[int], int]]:
-    """``[(lengths in one sequence, number of such sequences)]`` covering the histogram exactly."""
+def _use(left: np.ndarray, chosen: dict[tuple[int, ...], int], key: tuple[int, ...], n: int) -> None:
+    """Take ``n`` sequences of ``key``, or as many as the pieces ``left`` allow."""
+    lengths, times = np.unique(key, return_counts=True)
+    n = min(n, int((left[lengths] // times).min()))
+    if n > 0:
+        left[lengths] -= times * n
+        chosen[key] = chosen.get(key, 0) + n
+
+
+def _rounded(need: np.ndarray, amounts: dict[tuple[int, ...], float], upto: float) -> tuple[dict[tuple[int, ...], int], np.ndarray]:
+    """(whole numbers of sequences of the first columns, ``upto`` in all; what is left): rounded down, then the largest remainders up."""
+    left, chosen, taken = need.copy(), {}, []
+    for key, amount in amounts.items():
+        if upto <= 0:
+            break
+        taken.append((key, min(amount, upto)))
+        upto -= amount
+    for key, amount in taken:
+        _use(left, chosen, key, int(amount + 1e-6))
+    for key, amount in sorted(taken, key=lambda x: (int(x[1] + 1e-6) - x[1], x[0])):
+        if amount - int(amount + 1e-6) >= 0.5:
+            _use(left, chosen, key, 1)
+    return chosen, left
+
+
+def plan_parts(counts: dict[int, int], size: int = SIZE) -> tuple[list[tuple[list[int], int]], list[tuple[list[int], int]], float]:
+    """(sequences from priced columns, sequences from best fit, lower bound); together they cover the histogram exactly.
+
+    The LP's amounts are rounded down, then those with the largest remainders
+    up as far as pieces are left; further whole columns are priced for what is
+    left then, and best fit places the rest. The last columns of a round are
+    made of what others left, so best fit may also take over earlier (``SHARES``);
+    the smallest plan wins, the one with most columns of equal ones. Should
+    best fit alone need fewer sequences still, it is the plan.
+    """
     need = np.zeros(size + 1, np.int64)
     for length, n in counts.items():
         need[length] += n
-    greedy = _best_fit(need.copy(), size)
-    have = need > 0
-    if not have.any():
-        return []
-    covered, uses = np.zeros(size + 1), {}
-    for _ in range(rounds):
-        price = np.where(have, np.exp(-covered) / np.maximum(need, 1), 0.0)
-        price *= 1 / price.max()
-        got = tuple(sorted(_knapsack(price, size), reverse=True))
-        if not got:
-            break
-        lengths, times = np.unique(got, return_counts=True)
-        amount = step * float((need[lengths] / times).min())
-        uses[got] = uses.get(got, 0.0) + amount
-        covered[lengths] += amount * times / need[lengths]
-    scale = 1 / max(covered[have].max(), 1e-9)
-    left, rounded = need.copy(), []
-    for got, amount in sorted(uses.items(), key=lambda x: (-sum(x[0]), x[0])):
-        lengths, times = np.unique(got, return_counts=True)
-        n = min(int(amount * scale), int((left[lengths] // times).min()))
-        if n > 0:
-            left[lengths] -= times * n
-            rounded.append((list(got), n))
-    rounded += _best_fit(left, size)
+    if not need.any():
+        return [], [], 0.0
+    used, low = solve(need, size)
+    amounts: dict[tuple[int, ...], float] = {}
+    for key, amount in used:
+        amounts[key] = amounts.get(key, 0.0) + amount
     total = lambda p: sum(n for _, n in p)
-    return rounded if total(rounded) <= total(greedy) else greedy
+    whole, best = sum(amounts.values()), None
+    for share in SHARES:
+        chosen, left = _rounded(need, amounts, share * whole)
+        if share == 1:
+            for key, amount in _cover(left, np.arange(size + 1.0), size, 0.0, True)[0]:
+                _use(left, chosen, key, int(amount))
+        rest = _best_fit(left, size)
+        made = [(list(key), n) for key, n in chosen.items()], rest, low
+        if best is None or total(made[0]) + total(rest) < total(best[0]) + total(best[1]):
+            best = made
+    greedy = _best_fit(need.copy(), size)
+    return best if total(best[0]) + total(best[1]) <= total(greedy) else ([], greedy, low)
+
+
+def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[list[int], int]]:
+    """``[(lengths in one sequence, number of such sequences)]`` covering the histogram exactly."""
+    columns, rest, _ = plan_parts(counts, size)
+    return columns + rest
 
 
 def _places(chosen: list[tuple[list[int], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:

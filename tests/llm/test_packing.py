@@ -78,6 +78,56 @@ def test_plan_covers_the_histogram_near_its_bound():
         assert sum(n for _, n in plan) <= least * 1.02 + 1
 
 
+def size_of(part):
+    return sum(n for _, n in part)
+
+
+def greedy_size(counts):
+    need = np.zeros(packing.SIZE + 1, np.int64)
+    for x, n in counts.items():
+        need[x] = n
+    return size_of(packing._best_fit(need, packing.SIZE))
+
+
+def triplets(seed, kinds, n):
+    """Pieces of ``kinds`` sequences, each of three pieces that fill it exactly, ``n`` times each."""
+    rng, counts = random.Random(seed), {}
+    for _ in range(kinds):
+        a, b = rng.randint(520, 800), rng.randint(520, 800)
+        for x in (a, b, packing.SIZE - a - b):
+            counts[x] = counts.get(x, 0) + n
+    return counts
+
+
+def mixed(seed, distinct, most):
+    rng = random.Random(seed)
+    return {min(2047, int(rng.paretovariate(0.9) * 40)): rng.randint(1, most) for _ in range(distinct)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_columns_carry_the_plan_and_reach_the_bound_of_hard_histograms(seed):
+    counts = triplets(seed, 40, 200)
+    columns, rest, low = packing.plan_parts(counts)
+    assert low == pytest.approx(8000) and greedy_size(counts) > 8200
+    assert size_of(columns) + size_of(rest) <= 8008 and size_of(columns) > 0.99 * 8000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_most_sequences_come_from_columns_and_never_more_than_best_fit(seed):
+    for counts in (mixed(seed, 900, 60), mixed(seed + 9, 400, 5)):
+        columns, rest, low = packing.plan_parts(counts)
+        assert low <= size_of(columns) + size_of(rest) <= greedy_size(counts)
+        assert size_of(columns) > 0.5 * (size_of(columns) + size_of(rest))
+
+
+def test_prices_bound_the_program_from_below():
+    """Pairs of pieces just over a third: the bound is half their number, far above sum / size."""
+    need = np.zeros(packing.SIZE + 1, np.int64)
+    need[[690, 700, 720]] = 40, 60, 100
+    columns, low = packing.solve(need, rounds=200, rate=0.2)
+    assert 99 < low <= 100.0001 and sum(a for _, a in columns) == pytest.approx(100)
+
+
 def test_ranks_of_a_hot_length_are_gapless(spark):
     rows = spark.range(3000).selectExpr("id as k", "case when id % 3 = 0 then id % 50 + 1 else 77 end as v", "rand(1) as __salt")
     counts = {r["v"]: r["count"] for r in rows.groupBy("v").count().collect()}
