@@ -183,14 +183,14 @@ def _cover(need: np.ndarray, price: np.ndarray, size: int, near: float, whole: b
     return used, left, top
 
 
-def solve(need: np.ndarray, size: int = SIZE, rounds: int = 8, rate: float = 1.0, near: float = 0.01, gap: float = 0.0005) -> tuple[list[tuple[tuple[int, ...], float]], float]:
+def solve(need: np.ndarray, size: int = SIZE, rounds: int = 12, rate: float = 0.01, near: float = 0.01, gap: float = 0.0005) -> tuple[list[tuple[tuple[int, ...], float]], float]:
     """(columns of the configuration LP with their amounts, a proven lower bound of its value).
 
     Prices begin a little above proportion to the lengths, so that short pieces
     are kept to fill what long ones leave. In each round the knapsack
     prices columns until all lengths are covered, and the price of a length is
     multiplied by exp(rate * waste), where waste is the share of room that its
-    columns leave empty. The prices of any round bound the LP from below: no
+    columns leave empty, set against the highest such share. The prices of any round bound the LP from below: no
     column is worth more than the highest, so the worth of all lengths takes at
     least so many. Columns within ``near`` of the highest price are taken
     together, less in later rounds. Rounds end when bound and value are within
@@ -212,7 +212,10 @@ def solve(need: np.ndarray, size: int = SIZE, rounds: int = 8, rate: float = 1.0
         for key, amount in used:
             for x in key:
                 waste[x] += amount * (1 - sum(key) / size)
-        price[items] *= np.exp(rate * waste[items] / need[items])
+        waste[items] /= need[items]
+        if not waste.any():
+            break
+        price[items] *= np.exp(rate / (1 + r / 5) * waste[items] / waste.max())
     return best[1], low
 
 
