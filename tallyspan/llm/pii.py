@@ -1,22 +1,35 @@
-"""Personal data by candidate gradient boosting, in DataFrame functions only.
+"""Personal data and secrets by candidate gradient boosting, in DataFrame functions only.
 
 Base kinds (email, ip, card, phone) are regular expressions with a check each.
-Beside them, generators propose wide, overlapping candidates: anything around
-an at sign, any longer run of digits and separators, and any unbroken run of 13
-to 19 digits (so that cards are found that stand side by side and make one
-overlong base match). Each candidate gets yes/no features of its format and of
-the words before it. Boosted depth-two
-trees learn which candidates look like personal data; their labels are the
-validated base spans, from about ``sample_docs`` texts chosen by a hash. The
-features are few, so all candidates of the sample fold into a table of feature
-patterns with counts (at most 2^16 rows) and the driver boosts over that table.
-The trees become one SQL expression. For each generator the threshold is the
-lowest score whose precision on the sample reaches ``PRECISION``; candidates at
-or above it that touch no base span are added as kinds of their own.
+Beside them, generators propose wide, overlapping candidates, always whole
+tokens: anything around an at sign, longer runs of digits and separators,
+unbroken runs of 13 to 19 digits, account numbers in the international form,
+and unbroken runs of 16 or more letters and digits (keys, tokens, hashes). Each
+candidate gets yes/no features of its format and of the words before it.
+
+Boosted depth-two trees learn which candidates look like personal data. Their
+labels are weak: a validated base span that the candidate touches, check digits
+(Luhn, modulo 97), or a cue right before it (`token =`, `tel.`, `mail:`). For
+secrets the cue is the label and no feature, so that format and quotes decide,
+and a secret without a cue is found as well. The features are few, so the
+candidates of all rows fold into a table of feature patterns with counts, and
+the driver boosts over that table. The trees become one SQL expression.
+
+Calibration is held out: the trees fit four fifths of the texts by a hash; on
+the other fifth, and only among the candidates that no base span explains, each
+generator's threshold is the lowest score down to which every step of
+``STEP`` candidates has a precision of ``PRECISION``. Candidates from it on are
+added as kinds of their own, unless they touch a base span (a secret or an
+account number: unless it lies within one). Names are not looked for: nothing
+in the texts labels them, even weakly.
 
 Patterns are possessive, so that matching is linear and never deep on long
-runs. Offsets are code points, ends exclusive. Null and empty texts have no
-spans. Rows are independent: repeated rows give equal results.
+runs, however long a text is. Offsets are code points, ends exclusive. Null and
+empty texts have no spans; an empty table gives an empty result and a model
+that adds nothing. Ties: spans are ordered by kind and start, patterns of equal
+score pass or fail together. Rows are independent: repeated rows give equal
+results. Only the key and the text are read (``redact`` carries all columns
+along), so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -24,13 +37,18 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-ADDED = ("email_like", "number_like", "card_like")
-SAMPLE_DOCS = 20_000
+ADDED = ("email_like", "number_like", "card_like", "iban_like", "secret_like")
+#: Kinds that may hold a base span as a part of theirs.
+LARGER = ("iban_like", "secret_like")
 PRECISION = 0.9
+#: Held-out candidates that one step of the calibration takes together at least.
+STEP = 10
+FOLDS = 5
 ROUNDS, RATE = 20, 0.5
 
 #: Equal to the contract's patterns: possessive runs lose no match, and a start inside a run can't succeed where its first character failed.
@@ -40,10 +58,12 @@ PATTERNS = {
     "card": r"(?:(?<![0-9])|\G)[0-9](?:[ -]?[0-9]){15,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "email_like": r"(?:(?<![^\s<>,;])|\G)[^\s<>,;@]++@[^\s<>,;]++",
-    "number_like": r"(?:(?<![0-9])|\G)[0-9](?:[ ().-]{0,2}[0-9]){6,}+",
-    "card_like": r"(?<![0-9])[0-9]{13,19}(?![0-9])",
+    "number_like": r"(?<![\p{L}0-9_])[0-9](?:[ ().-]{0,2}[0-9]){6,}+(?![\p{L}0-9_])",
+    "card_like": r"(?<![\p{L}0-9_])[0-9]{13,19}+(?![\p{L}0-9_])",
+    "iban_like": r"(?<![\p{L}0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9_])",
+    "secret_like": r"(?<![\p{L}0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{16,}+(?![\p{L}])",
 }
-GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9 -]{14}", "phone": r"\+[0-9]", "email_like": "@", "number_like": r"[0-9][0-9 ().-]{5}", "card_like": r"[0-9]{13}"}
+GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9 -]{14}", "phone": r"\+[0-9]", "email_like": "@", "number_like": r"[0-9][0-9 ().-]{5}", "card_like": r"[0-9]{13}", "iban_like": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "secret_like": r"[A-Za-z0-9_+/=-]{16}"}
 _SPAN = "array<struct<start:int,end:int,m:string>>"
 
 
@@ -89,6 +109,21 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def mod97(m: Column) -> Column:
+    """Whether an account number's check digits are right: the first four characters behind the others, letters as 10 to 35, leave 1."""
+    plain = F.regexp_replace(m, "[^A-Z0-9]", "")
+    turned = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
+
+    def step(acc: Column, c: Column) -> Column:
+        value = F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return F.when(value > 9, acc * 100 + value).otherwise(acc * 10 + value) % 97
+
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda acc, c: F.when(c == "", acc).otherwise(step(acc, c))) == 1
+
+
+_CUE = r"(?:mail|tel|phone|call|fax|card|visa|konto|iban|address|\bip\b|contact)[^a-z]{0,12}$"
+_KEY_CUE = r"(?:key|token|secret|passw(?:or)?d|pwd|credential|auth|bearer)[a-z_]*[\"']?\s{0,3}(?:[=:]|is)?\s{0,3}[\"']?$"
+
 #: Feature name -> expression over the candidate text ``m``, its generator ``g`` and the 32 characters before it ``b``.
 FEATURES = {
     "at_sign": lambda g, m, b: F.contains(m, F.lit("@")),
@@ -103,13 +138,33 @@ FEATURES = {
     "three_dots": lambda g, m, b: m.rlike(r"^[0-9]+(?:\.[0-9]+){3}$"),
     "dashes": lambda g, m, b: m.rlike("-"),
     "blocks_of_four": lambda g, m, b: m.rlike(r"^(?:[0-9]{4}[ -]?){3,4}[0-9]{1,4}$"),
-    "cue_before": lambda g, m, b: F.lower(b).rlike(r"(?:mail|tel|phone|call|fax|card|visa|konto|iban|address|\bip\b|contact)[^a-z]{0,12}$"),
-    "word_glued": lambda g, m, b: b.rlike(r"[\p{L}_=\"'/-]$"),
-    "luhn": lambda g, m, b: F.when(F.length(_digits(m)).between(13, 19), luhn(_digits(m))),
+    "cue_before": lambda g, m, b: (g != "secret_like") & F.lower(b).rlike(_CUE),
+    "luhn": lambda g, m, b: F.when(~g.isin(*LARGER) & F.length(_digits(m)).between(13, 19), luhn(_digits(m))),
+    "mod97": lambda g, m, b: F.when(g == "iban_like", mod97(m)),
     "unbroken": lambda g, m, b: m.rlike(r"^[0-9]+$"),
+    "hexadecimal": lambda g, m, b: m.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"),
+    "long": lambda g, m, b: F.length(m) >= 32,
+    "both_cases": lambda g, m, b: m.rlike("[a-z].*[A-Z]|[A-Z].*[a-z]"),
+    "mixed_up": lambda g, m, b: m.rlike(r"(?:[0-9]++[A-Za-z]++){3}"),
+    "slashes": lambda g, m, b: m.rlike("/"),
+    "quote_before": lambda g, m, b: b.rlike(r"[\"']$"),
+    "sign_before": lambda g, m, b: b.rlike(r"[=:]\s{0,3}[\"']?$"),
 }
 
 
+def _weak_label(g: Column, m: Column, b: Column) -> Column:
+    """Whether check digits or a cue before it speak for a candidate."""
+    n = F.length(_digits(m))
+    cue = F.lower(b).rlike(_CUE)
+    return (
+        F.when(g == "secret_like", F.lower(b).rlike(_KEY_CUE))
+        .when(g == "iban_like", mod97(m))
+        .when(g == "email_like", cue)
+        .when(g == "card_like", luhn(_digits(m)))
+        .otherwise((n.between(13, 19) & luhn(_digits(m))) | (n.between(8, 15) & cue))
+    )
+
+
 def _pattern_code(g: Column, m: Column, b: Column) -> Column:
     code = F.lit(0)
     for i, f in enumerate(FEATURES.values()):
@@ -121,8 +176,8 @@ def _overlaps(spans: Column, x: Column) -> Column:
     return F.exists(spans, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
 
 
-def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, text, base, wide)``: validated base spans, and candidates with their feature patterns."""
+def found(docs: DataFrame, key: str = "doc_id", text: str = "text", labels: bool = False) -> DataFrame:
+    """``(key, text, base, wide)``: validated base spans, and candidates with their feature patterns, if asked for with weak labels."""
     src = docs.select(F.col(key).alias(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__t"))
     t = F.col("__t")
     raw = src.select(key, "__t", *[places(t, k).alias(k) for k in (*KINDS, *ADDED)])
@@ -133,7 +188,8 @@ def found(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         def one(x: Column) -> Column:
             before = F.substring(t, F.greatest(x["start"] - 31, F.lit(1)), F.least(x["start"], F.lit(32)))
             code = _pattern_code(F.lit(k), x["m"], before)
-            return F.struct(F.lit(k).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), code.alias("code"))
+            weak = [F.coalesce(_weak_label(F.lit(k), x["m"], before), F.lit(False)).alias("weak")] if labels else []
+            return F.struct(F.lit(k).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), code.alias("code"), *weak)
 
         return F.transform(k, one)
 
@@ -161,46 +217,70 @@ class Boosted:
         return out
 
 
-def boost(rows: list[tuple[str, int, int, int]], rounds: int = ROUNDS, rate: float = RATE, precision: float = PRECISION) -> Boosted:
-    """Gradient boosting with Newton leaves over ``(generator, pattern, positives, negatives)``."""
+def boost(rows: list[tuple[str, int, int, int]], rounds: int = ROUNDS, rate: float = RATE) -> Boosted:
+    """Gradient boosting with Newton leaves over ``(generator, pattern, positives, negatives)``; thresholds are still infinite."""
     pos, neg = sum(r[2] for r in rows), sum(r[3] for r in rows)
     model = Boosted(math.log((pos + 1) / (neg + 1)), [], {k: math.inf for k in ADDED})
     n = len(FEATURES)
-    margin = [model.start] * len(rows)
+    code = np.array([r[1] for r in rows], np.int64)
+    p, q = (np.array([r[k] for r in rows], float) for k in (2, 3))
+    margin = np.full(len(rows), model.start)
     for _ in range(rounds if pos and neg else 0):
-        prob = [1 / (1 + math.exp(-m)) for m in margin]
-        grad = [r[2] * (1 - p) - r[3] * p for r, p in zip(rows, prob, strict=True)]
-        hess = [(r[2] + r[3]) * p * (1 - p) for r, p in zip(rows, prob, strict=True)]
+        prob = 1 / (1 + np.exp(-margin))
+        grad, hess = p * (1 - prob) - q * prob, (p + q) * prob * (1 - prob)
         best = (-1.0, 0, 0, (0.0,) * 4)
         for i in range(n):
             for j in range(i + 1, n):
-                g, h = [0.0] * 4, [0.0] * 4
-                for r, a, b in zip(rows, grad, hess, strict=True):
-                    leaf = 2 * (r[1] >> i & 1) + (r[1] >> j & 1)
-                    g[leaf] += a
-                    h[leaf] += b
-                gain = sum(a * a / (b + 1) for a, b in zip(g, h, strict=True))
-                if gain > best[0] + 1e-12:
-                    best = (gain, i, j, tuple(rate * a / (b + 1) for a, b in zip(g, h, strict=True)))
+                leaf = 2 * (code >> i & 1) + (code >> j & 1)
+                g, h = np.bincount(leaf, grad, 4), np.bincount(leaf, hess, 4)
+                gain = float((g * g / (h + 1)).sum())
+                if gain > best[0] + 1e-9:
+                    best = (gain, i, j, tuple(float(v) for v in rate * g / (h + 1)))
         model.trees.append(best[1:])
-        margin = [model.margin(r[1]) for r in rows]
-    for kind in ADDED:
-        hits = total = 0
-        for m, r in sorted(((round(m, 9), r) for m, r in zip(margin, rows, strict=True) if r[0] == kind), key=lambda x: -x[0]):
-            hits, total = hits + r[2], total + r[2] + r[3]
-            if hits / (total + 1) >= precision:
-                model.thresholds[kind] = m - 1e-6
+        margin = np.array([model.margin(r[1]) for r in rows])
     return model
 
 
-def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Boosted:
-    """Trees from the feature patterns of a bounded sample of texts."""
-    n = docs.count()
-    share = F.pmod(F.xxhash64(F.lit("pii"), text), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample_docs / max(1, n)))
-    seen = found(docs.filter(share).select(F.lit(0).alias("k"), text), "k", text)
-    each = seen.select("base", F.explode("wide").alias("x")).select("x.kind", "x.code", _overlaps(F.col("base"), F.col("x")).alias("y"))
-    rows = each.groupBy("kind", "code").agg(F.count_if(F.col("y")).alias("p"), F.count_if(~F.col("y")).alias("n"))
-    return boost(sorted((r["kind"], r["code"], r["p"], r["n"]) for r in rows.collect()))
+def calibrate(model: Boosted, rows: list[tuple[str, int, int, int]], precision: float = PRECISION, step: int = STEP) -> None:
+    """Set each generator's threshold by held-out ``(generator, pattern, positives, negatives)``.
+
+    Patterns are taken by falling score, those of equal score together, until
+    ``step`` candidates are reached; the threshold is the lowest score before
+    the first such group whose own precision is too low.
+    """
+    for kind in ADDED:
+        by_score: dict[float, list[int]] = {}
+        for r in rows:
+            if r[0] == kind:
+                held = by_score.setdefault(round(model.margin(r[1]), 9), [0, 0])
+                held[0] += r[2]
+                held[1] += r[3]
+        hits = total = 0
+        for score, (p, n) in sorted(by_score.items(), reverse=True):
+            hits, total = hits + p, total + p + n
+            if total >= step:
+                if hits / total < precision:
+                    break
+                model.thresholds[kind] = score - 1e-6
+                hits = total = 0
+
+
+def train(docs: DataFrame, text: str = "text") -> Boosted:
+    """Trees from the feature patterns of the candidates of all rows; the driver gets their counts only."""
+    fold = F.pmod(F.xxhash64(F.lit("pii"), text), F.lit(FOLDS))
+    seen = found(docs.select(fold.alias("k"), text), "k", text, labels=True)
+    each = seen.select("k", "base", F.explode("wide").alias("x")).select("k", "x.kind", "x.code", "x.weak", _overlaps(F.col("base"), F.col("x")).alias("based"))
+    own = (F.col("weak") | F.col("based")) & ((F.col("kind") != "secret_like") | F.col("weak"))
+    rows = each.groupBy("kind", "code", "based", (F.col("k") == 0).alias("held")).agg(F.count_if(own).alias("p"), F.count_if(~own).alias("n")).collect()
+    fit: dict[tuple[str, int], list[int]] = {}
+    for r in rows:
+        if not r["held"]:
+            both = fit.setdefault((r["kind"], r["code"]), [0, 0])
+            both[0] += r["p"]
+            both[1] += r["n"]
+    model = boost([(*k, *v) for k, v in sorted(fit.items())])
+    calibrate(model, [(r["kind"], r["code"], r["p"], r["n"]) for r in rows if r["held"] and not (r["based"] and r["kind"] not in LARGER)])
+    return model
 
 
 def detect(docs: DataFrame, model: Boosted, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,7 +293,11 @@ def detect(docs: DataFrame, model: Boosted, key: str = "doc_id", text: str = "te
             out = F.when(x["kind"] == kind, model.thresholds[kind]).otherwise(out)
         return out
 
-    chosen = F.filter("wide", lambda x: (model.expression(x["code"]) >= limit(x)) & ~_overlaps(F.col("base"), x))
+    def explained(x: Column) -> Column:
+        within = F.exists("base", lambda s: (s["start"] <= x["start"]) & (x["end"] <= s["end"]))
+        return F.when(x["kind"].isin(*LARGER), within).otherwise(_overlaps(F.col("base"), x))
+
+    chosen = F.filter("wide", lambda x: (model.expression(x["code"]) >= limit(x)) & ~explained(x))
     return seen.select(key, "text", "base", F.transform(chosen, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("added"))
 
 

@@ -52,8 +52,56 @@ def test_trees_tell_patterns_apart():
     rows = [("email_like", 0b111, 900, 3), ("email_like", 0b001, 2, 500), ("number_like", 1 << 6, 300, 10), ("number_like", 0, 1, 4000)]
     model = pii.boost(rows)
     assert model.margin(0b111) > 0 > model.margin(0b001)
+    pii.calibrate(model, rows)
     assert model.thresholds["email_like"] <= model.margin(0b111) and model.thresholds["email_like"] > model.margin(0b001)
     assert model.thresholds["number_like"] > model.margin(0)
+    assert model.thresholds["secret_like"] == float("inf")
+
+
+def test_threshold_is_marginal():
+    """Many good candidates with high scores don't pay for poor ones with lower scores."""
+    model = pii.Boosted(0.0, [(0, 1, (0.0, 1.0, 2.0, 3.0))], dict.fromkeys(pii.ADDED, float("inf")))
+    pii.calibrate(model, [("email_like", 0b11, 10_000, 1), ("email_like", 0b01, 50, 40), ("email_like", 0b10, 10, 0)])
+    assert 2.0 < model.thresholds["email_like"] <= 3.0
+
+
+def brute_mod97(m):
+    plain = re.sub("[^A-Z0-9]", "", m)
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def test_check_digits_of_account_numbers(spark):
+    rng = random.Random(7)
+    rows = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"] + ["".join([rng.choice(["DE", "FR", "GB"]), str(rng.randint(10, 99)), *(rng.choice("0123456789ABCXYZ") for _ in range(rng.randint(8, 30)))]) for _ in range(300)]
+    got = spark.createDataFrame([(m,) for m in rows], "m string").select("m", pii.mod97(F.col("m")).alias("y")).collect()
+    assert all(r.y == brute_mod97(r.m) for r in got) and sum(r.y for r in got) >= 3
+
+
+def test_whole_secrets_are_found_and_hidden(spark):
+    rng = random.Random(8)
+    key = lambda n, abc: "".join(rng.choice(abc) for _ in range(n))
+    hexa, both = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    docs = []
+    for i in range(1200):
+        words = [key(rng.randint(3, 9), "abcdefgh") for _ in range(12)]
+        if i % 4 == 0:
+            words.insert(5, f'token = "{key(40, hexa)}"')
+        elif i % 4 == 1:
+            words.insert(5, f"{key(16, '0123456789')} section-{i}-of-the-manual/{i}")
+        docs.append((i, " ".join(words)))
+    docs += [(5000, f'here "{key(40, hexa)}" stands'), (5001, f"x{key(16, '0123456789')}y and call {i}"), (5002, None), (5003, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("kind", F.lit(1)).withColumn("code", F.lit("c"))
+    model = pii.train(df)
+    got = {r.doc_id: [(t.kind, r.text[t.start : t.end]) for t in r.added] for r in pii.detect(df, model).collect()}
+    for i, text in docs:
+        tokens = re.findall(r"[A-Za-z0-9_+/=-]+", text or "")
+        assert all(m in tokens for _, m in got[i])
+        if i < 1200 and i % 4 == 0:
+            assert [k for k, _ in got[i]] == ["secret_like"]
+        if i < 1200 and i % 4:
+            assert not got[i]
+    assert got[5000] and not got[5001]
+    assert not [r for r in pii.redact(df, model).collect() if re.search("[0-9a-f]{20}", r.text or "")]
 
 
 def test_expression_equals_margin_and_redaction_is_exact(spark):
