@@ -1,3 +1,5 @@
+import random
+
 from tallyspan.llm import wrapper
 
 
@@ -48,5 +50,66 @@ def test_deep_nesting_and_long_pages_stay_cheap():
     deep = "<div>" * 5000 + "core" + "</div>" * 5000
     assert wrapper.main_text(deep) == "core"
     long = "<body>" + "".join(f"<p>par {n}</p>" for n in range(3000)) + "</body>"
-    made = wrapper.induce([f"<body><p>tagline</p><p>a{n} {'x' * 50 * n}</p></body>" for n in range(1, 6)])
-    assert len(wrapper.main_text(long, wrapper.load(made)).split("\n")) == 3000
+    made = decided([f"<body><p>tagline</p><p>a{n} {'x' * 50 * n}</p></body>" for n in range(1, 6)])
+    assert len(wrapper.main_text(long, made).split("\n")) == 3000
+
+
+def decided(pages):
+    """The wrapper of a few pages, without Spark."""
+    seed = wrapper.Wrapper(wrapper.induce(pages))
+    rows = [seed.digest(p) for p in pages]
+    cols = list(zip(*rows, strict=True))
+    length = sum(len(wrapper.flat(n.text)) for p in pages for n in wrapper.nodes(wrapper.parse(p)) if n.tag == "#")
+    return wrapper.Wrapper(seed.decide(len(rows), [sum(c) for c in cols], [sum(v > 0 for v in c) for c in cols], [sum(v == 2 for v in c) for c in cols], length))
+
+
+def say(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+
+def plain_page(rng, tagline, body):
+    """Nothing but div: links, a teaser that varies, the article, small print."""
+    links = "".join(f'<a href="/{k}">{say(rng, 2)}</a>' for k in range(6))
+    return f'<html><body><div class="x1">{links}</div><div class="x2">{say(rng, 6)}</div><div class="x3"><p>{tagline}</p><h1>{body[0]}</h1><p>{body[1]}</p><p>{body[2]}</p></div><div class="x4"><p>{tagline} again</p></div></body></html>'
+
+
+def test_constants_and_slot_decide_where_no_tag_helps(spark):
+    """Without the wrapper the template text stays; with it only the slot is left, menu and teaser are not."""
+    rng = random.Random(3)
+    bodies = [(say(rng, 5), say(rng, 90), say(rng, 70)) for _ in range(60)]
+    rows = [(n, f"http://h.example.org/{n}", plain_page(rng, "The paper that everyone reads", b)) for n, b in enumerate(bodies)]
+    rows += [(100 + n, "http://h.example.org/x", rows[5][2]) for n in range(300)]  # copies count once
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n, b in enumerate(bodies):
+        assert got[n] == "\n".join(b)
+        assert wrapper.main_text(rows[n][2]) == "\n".join(("The paper that everyone reads", *b))
+    assert got[399] == got[5]
+
+
+def test_template_is_what_nearly_all_pages_say(spark):
+    rng = random.Random(4)
+    rows, bodies = [], []
+    for n in range(200):
+        tagline = "The paper that everyone reads" if n % 50 else "Sorry we are late today"
+        body = ("A heading that most pages have" if n % 5 else say(rng, 6), say(rng, 80), say(rng, 60))
+        bodies.append((tagline, body))
+        rows.append((n, "http://h.example.org/", plain_page(rng, tagline, body)))
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n, (tagline, body) in enumerate(bodies):
+        assert got[n] == "\n".join(body if n % 50 else (tagline, *body))
+
+
+def test_class_names_inside_the_article_and_teasers_beside_it():
+    body = "<p>" + "real body text " * 40 + "</p>"
+    text = wrapper.main_text(f'<body><article class="teaser-card"><a href="/x">teaser</a></article><div class="text"><h1 class="article-header">Head</h1>{body}<div class="related-topic">kept too</div><div class="comment-list">gone</div></div></body>')
+    assert text.split("\n") == ["Head", ("real body text " * 40).strip(), "kept too"]
+    assert [wrapper.boiler_name(x) for x in ("ad", "cookie-notice", "comments area", "article-header", "topic related-topic", "")] == [True, True, True, False, False, False]
+
+
+def test_headline_beside_the_slot_belongs_to_it():
+    rng = random.Random(5)
+    pages = [f"<body><div class='top'><h1>{say(rng, 4)}</h1></div><div class='main-col'><p>{say(rng, 80)}</p></div></body>" for _ in range(8)]
+    made = decided(pages)
+    for p in pages:
+        head, text = wrapper.main_text(p, made).split("\n")
+        assert f"<h1>{head}</h1>" in p and f"<p>{text}</p>" in p
