@@ -1,22 +1,25 @@
 """Language identification by prediction by partial matching.
 
-For each language a byte context tree of order three is counted once and then
-frozen. A byte costs -log2 of its probability in the longest context that was
-seen; contexts that never saw the byte pay their escape probability and hand
-down to the next shorter one, to the uniform distribution at last (escapes of
-method C: distinct symbols against all). The language of the shortest code
-wins.
-
-Bytes are folded to an alphabet of ``alphabet`` symbols: A-Z to a-z, then the
-most frequent bytes of the training sample, and one symbol for all others,
-which pays the choice among them on top, so that code lengths stay exact. The
-frozen tree of all contexts is then one table of costs for each language, and
-scoring a text is one gather for each byte.
-
-Training takes about ``sample_docs`` documents of each language by a hash of
-their text: the bounded, documented sample. Null texts and texts without a
-letter are ``und`` with score 0, as is everything if nothing can be learned.
-Ties between languages go to the first in alphabetical order.
+For each language a byte context tree of order ``ORDER`` is counted once and
+then frozen. A byte costs -log2 of its probability in the longest context that
+was seen; contexts that never saw the byte pay their escape probability and
+hand down to the next shorter one, to the uniform distribution over all 256
+bytes at last (escapes of method C: distinct symbols against all). The language
+of the shortest code wins. Order and alphabet are the same whatever the number
+of languages; A-Z count as a-z.
+
+The trees are kept sparsely: for each order the sorted grams that any language
+has seen, with their costs under all languages, so their size follows the
+bounded training sample and not the alphabet. Scoring looks up each byte with
+its context and goes down only where no language has seen it.
+
+Training takes about ``sample_docs`` different texts of each language by a hash
+of the text, at least one: the bounded, documented sample. Null texts and texts
+without a letter are ``und`` with score 0, as is everything if nothing can be
+learned. Very long texts are read whole, a part at a time. Ties between
+languages go to the first in alphabetical order. Repeated rows get equal
+results; in training they count once. An empty table gives an empty result.
+Only key, language and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,106 +35,108 @@ from pyspark.sql import functions as F
 from tallyspan.llm.common import map_texts, text_batches
 
 SAMPLE_DOCS = 400
-ALPHABET = 48
 ORDER = 3
-#: Cells of the cost table over all languages; more languages shorten the contexts.
-MAX_CELLS = 1 << 26
+#: Bytes of a text that are looked up together.
+PART = 1 << 16
 _LETTER = re.compile(r"[^\W\d_]")
 _PAD = b"   "
 _TEMPER = 0.05
 
 
 def sample(docs: DataFrame, lang: str, text: str, sample_docs: int) -> DataFrame:
-    """About ``sample_docs`` rows of each language, chosen by a hash of the text."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = counts.select("lang", (F.lit(float(sample_docs)) / F.col("n")).alias("share"))
-    pick = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return known.join(F.broadcast(share), "lang").filter(pick < F.col("share")).select("lang", "text")
+    """About ``sample_docs`` different texts of each language, those of the least hashes; at least one."""
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"))
+    known = known.withColumn("h", F.xxhash64("text"))
+    pick = lambda h: F.pmod(h, F.lit(1 << 20)) / F.lit(float(1 << 20))
+    share = known.groupBy("lang").agg((F.lit(float(sample_docs)) / F.approx_count_distinct("h")).alias("share"), F.min_by("h", pick(F.col("h"))).alias("least"))
+    taken = known.join(F.broadcast(share), "lang").filter((pick(F.col("h")) < F.col("share")) | (F.col("h") == F.col("least")))
+    return taken.dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, gram, n)``: counts of all 4-byte windows, the first padded with spaces."""
+    """``(lang, gram, n)``: how often each byte stands behind its three bytes of context; a text begins behind three spaces."""
     text_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs = b.column(0).to_pylist()
             for lang in sorted(set(langs)):
-                data = b"".join(_PAD + x.as_py().encode("utf-8", "surrogatepass").lower() for own, x in zip(langs, b.column(1), strict=True) if own == lang)
-                raw = np.frombuffer(data, np.uint8).astype(np.uint32)
-                gram, n = np.unique(raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:], return_counts=True)
+                own = [x.as_py().encode("utf-8", "surrogatepass").lower() for at, x in zip(langs, b.column(1), strict=True) if at == lang]
+                gram, n = np.unique(np.concatenate([windows(t) for t in own]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
     return texts.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def windows(data: bytes) -> np.ndarray:
+    """Each byte of a text behind its three bytes of context, as one number."""
+    raw = np.frombuffer(_PAD + data, np.uint8).astype(np.uint32)
+    return raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
+
+
 class ContextTree:
-    """The frozen costs of all languages, as one table over context and symbol."""
+    """The frozen costs of all languages, for each order over the grams and contexts that were seen."""
 
-    def __init__(self, counts: list[tuple[str, int, int]], alphabet: int = ALPHABET, order: int = ORDER, max_cells: int = MAX_CELLS):
+    def __init__(self, counts: list[tuple[str, int, int]], order: int = ORDER):
         self.langs = sorted({x[0] for x in counts})
         self.rows = [(self.langs.index(a), g, n) for a, g, n in counts]
-        self.alphabet = alphabet
-        while order > 1 and alphabet ** (order + 1) * len(self.langs) > max_cells:
-            order -= 1
         self.order = order
-        self.table: np.ndarray | None = None
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"table": None}
+        return self.__dict__ | {"levels": None}
 
     def build(self) -> None:
-        """Expand the counts into the table; done once in each worker."""
-        at, gram, n = (np.array(x, np.int64) for x in zip(*self.rows, strict=True))
-        freq = np.bincount(gram & 255, weights=n, minlength=256)
-        common = np.argsort(-freq, kind="stable")[: self.alphabet - 1]
-        code = np.full(256, self.alphabet - 1, np.uint8)
-        code[common] = np.arange(len(common))
-        code[65:91] = code[97:123]
-        self.code, size = code, self.alphabet
-        rare = max(1, 256 - len(common))
-        symbols = [code[gram >> s & 255].astype(np.int64) for s in (24, 16, 8, 0)][3 - self.order :]
-        self.table = np.empty((size ** (self.order + 1), len(self.langs)), np.float32)
-        for lang in range(len(self.langs)):
-            mine = at == lang
-            cost = np.full(size, np.log2(size), np.float32)
-            for order in range(self.order + 1):
-                key = np.zeros(int(mine.sum()), np.int64)
-                for s in symbols[self.order - order :]:
-                    key = key * size + s[mine]
-                seen = np.bincount(key, weights=n[mine], minlength=size ** (order + 1)).astype(np.float32).reshape(-1, size)
-                total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True).astype(np.float32)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    all_bits = np.log2(total + kinds)
-                    down = np.where(total > 0, all_bits - np.log2(kinds), np.float32(0))
-                    lower = np.tile(cost.reshape(-1, size), (size if order else 1, 1))
-                    cost = np.where(seen > 0, all_bits - np.log2(seen), down + lower)
-            cost[:, size - 1] += np.float32(np.log2(rare))
-            self.table[:, lang] = cost.reshape(-1)
+        """Costs of all orders; done once in each worker."""
+        lang, gram, n = (np.array(x, np.int64) for x in zip(*self.rows, strict=True))
+        self.levels = []
+        for order in range(self.order + 1):
+            keys, at = np.unique(gram & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            seen = np.zeros((len(keys), len(self.langs)))
+            np.add.at(seen, (at, lang), n)
+            contexts, own = np.unique(keys >> 8, return_inverse=True)
+            total, kinds = np.zeros((2, len(contexts), len(self.langs)))
+            np.add.at(total, own, seen)
+            np.add.at(kinds, own, seen > 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                all_bits = np.log2(total + kinds)
+                escape = np.where(total > 0, all_bits - np.log2(kinds), 0.0)
+                lower = 8.0 if not order else self.levels[-1][1][np.searchsorted(self.levels[-1][0], keys & ((1 << 8 * order) - 1))]
+                cost = np.where(seen > 0, all_bits[own] - np.log2(seen), escape[own] + lower)
+            self.levels.append((keys, cost.astype(np.float32), contexts, escape.astype(np.float32)))
+
+    def costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of each byte (rows) in its context under each language (columns)."""
+        out = np.zeros((len(gram), len(self.langs)), np.float32)
+        live = np.arange(len(gram))
+        for order in range(self.order, -1, -1):
+            keys, cost, contexts, escape = self.levels[order]
+            own = gram[live] & np.uint32((1 << 8 * (order + 1)) - 1)
+            i = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            hit = keys[i] == own
+            if order == self.order and hit.all():
+                return cost[i]
+            out[live[hit]] += cost[i[hit]]
+            live, own = live[~hit], own[~hit] >> np.uint32(8)
+            if not len(live):
+                break
+            i = np.minimum(np.searchsorted(contexts, own), len(contexts) - 1)
+            known = contexts[i] == own
+            out[live[known]] += escape[i[known]]
+        out[live] += np.float32(8)
+        return out
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) under each language (columns)."""
-        if self.table is None:
+        if self.levels is None:
             self.build()
+            for k, (keys, cost, contexts, escape) in enumerate(self.levels):
+                self.levels[k] = (keys.astype(np.uint32), cost, contexts.astype(np.uint32), escape)
         out = np.zeros((len(texts), len(self.langs)))
-        at = 0
-        while at < len(texts):  # about 4 MB at a time; a longer text stands alone
-            end, room = at + 1, (4 << 20) - len(texts[at])
-            while end < len(texts) and room > len(texts[end]):
-                room -= len(texts[end])
-                end += 1
-            part = texts[at:end]
-            codes = self.code[np.frombuffer(b"".join(_PAD[: self.order] + t for t in part), np.uint8)].astype(np.int32)
-            cell = codes[: len(codes) - self.order]
-            for s in range(1, self.order + 1):
-                cell = cell * self.alphabet + codes[s : len(codes) - self.order + s]
-            lengths = np.array([len(t) for t in part])
-            starts = np.concatenate([[0], np.cumsum(lengths[:-1] + self.order)])
-            for lo, t, n in zip(range(at, end), starts, lengths, strict=True):
-                for s in range(t, t + n, 1 << 16):
-                    out[lo] += self.table[cell[s : min(t + n, s + (1 << 16))]].sum(0, dtype=np.float64)
-            at = end
+        for k, t in enumerate(texts):
+            gram = windows(t.lower())
+            for at in range(0, len(gram), PART):
+                out[k] += self.costs(gram[at : at + PART]).sum(0, dtype=np.float64)
         return out
 
 

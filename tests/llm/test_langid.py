@@ -41,11 +41,11 @@ def test_code_lengths_are_those_of_escape_c():
             g = int.from_bytes(data[i : i + 4], "big")
             own[g] = own.get(g, 0) + 1
         counts += [(lang, g, n) for g, n in own.items()]
-    tree = langid.ContextTree(sorted(counts), alphabet=16)
-    probe = b"abrazebq"
+    tree = langid.ContextTree(sorted(counts))
+    probe = "abrazebq zebé".encode()
     got = tree.bits([probe])[0]
     for k, lang in enumerate(tree.langs):
-        grams = [tuple(tree.code[list(g.to_bytes(4, "big"))]) for a, g, _ in counts if a == lang]
+        grams = [tuple(g.to_bytes(4, "big")) for a, g, _ in counts if a == lang]
         times = [n for a, _, n in counts if a == lang]
 
         def cost(context, s, grams=grams, times=times):
@@ -57,8 +57,31 @@ def test_code_lengths_are_those_of_escape_c():
             if s in seen:
                 return math.log2(total + kinds) - math.log2(seen[s])
             escape = math.log2(total + kinds) - math.log2(kinds) if total else 0
-            return escape + (cost(context[1:], s) if context else math.log2(16))
+            return escape + (cost(context[1:], s) if context else 8)
 
-        codes = [int(x) for x in tree.code[list(b"   " + probe)]]
-        want = sum(cost(tuple(codes[i : i + 3]), codes[i + 3]) + (math.log2(256 - 15) if codes[i + 3] == 15 else 0) for i in range(len(probe)))
+        data = b"   " + probe
+        want = sum(cost(tuple(data[i : i + 3]), data[i + 3]) for i in range(len(probe)))
         assert math.isclose(got[k], want, rel_tol=1e-4)
+
+
+def test_order_and_bytes_are_the_same_for_many_languages():
+    """Costs under a language don't depend on how many others there are."""
+    rng = random.Random(6)
+    counts = []
+    for k in range(20):
+        text = "".join(rng.choice([chr(0x400 + k * 8 + j) for j in range(8)] + [" "]) for _ in range(400)).encode()
+        own: dict = {}
+        for g in langid.windows(text).tolist():
+            own[g] = own.get(g, 0) + 1
+        counts += [(f"l{k:02}", g, n) for g, n in own.items()]
+    probe = "".join(chr(0x400 + 3 * 8 + rng.randrange(8)) for _ in range(50)).encode()
+    many = langid.ContextTree(sorted(counts))
+    alone = langid.ContextTree(sorted(c for c in counts if c[0] == "l03"))
+    cost = many.bits([probe])[0]
+    assert math.isclose(cost[3], alone.bits([probe])[0][0], rel_tol=1e-5) and cost.argmin() == 3
+
+
+def test_sample_takes_different_texts_and_every_language(spark):
+    rows = [("aa", "copy of one text")] * 500 + [("aa", f"text {n}") for n in range(40)] + [("bb", "the only one")] * 3 + [("cc", None), (None, "x")]
+    taken = langid.sample(spark.createDataFrame(rows, "lang string, text string"), "lang", "text", 10).collect()
+    assert {r.lang for r in taken} == {"aa", "bb"} and len({(r.lang, r.text) for r in taken}) == len(taken) < 30
