@@ -47,7 +47,20 @@ def test_bound_never_misses_and_saves_work():
     rng = np.random.default_rng(7)
     a = rng.normal(size=(300, 64))
     b = np.concatenate([a[:50] + rng.normal(size=(50, 64)) * 0.25, rng.normal(size=(250, 64))])
-    i, j, again = embed.tile_links(a, b, 0.93)
+    i, j, again = ([*x] for x in zip(*embed.tile_links(a, b, 0.93, block=64), strict=True))
+    i, j, again = np.concatenate(i), np.concatenate(j), sum(again)
     cos = a @ b.T / np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1))
     assert set(zip(i, j, strict=True)) == set(zip(*np.nonzero(cos >= 0.93), strict=True))
     assert again < 0.02 * a.shape[0] * b.shape[0]
+
+
+def test_extreme_components_and_a_tile_of_near_copies(spark):
+    rows = [(0, [1e200, 2e200], 1), (1, [1e-200, 2e-200], 1), (2, [1.0, 2.0], 1), (3, [-1e300, 1e300], 1), (4, [5e-324, 5e-324], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (3, 0)}
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=8)
+    near = [(n, (base + rng.normal(size=8) * 1e-3).tolist(), 0) for n in range(700)]
+    got = embed.near_duplicates(spark.createDataFrame(near, "vec_id long, embedding array<double>, label int"), tile=200).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(699, 0)}
