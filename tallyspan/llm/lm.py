@@ -27,8 +27,11 @@ The base score is exact: the most frequent tokens (at most 2^17 can make up
 2^-17 of all) are broadcast with their counts, and the others meet theirs in a
 join, which then has no hot key.
 
-Null texts are empty: one end token. Repeated rows are scored and counted each.
-Without training rows N and V are 0 and all words are unknown.
+Null texts are empty: one end token. Very long texts and words are hashed whole,
+in bounded memory. Ties: of equally good weights the smallest is taken. Repeated
+rows are scored and counted each. Without training rows N and V are 0 and all
+words are unknown; an empty table gives an empty result. Only the key, the text
+and the training condition are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -71,6 +74,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _POWERS = np.array([pow(_ODD, i + 1, 1 << 64) for i in range(4096)], np.uint64)
+#: The powers of places 4,096 and 2^24 apart, for the coefficients of long words.
+_STEPS = tuple(np.array([pow(_ODD, i << shift, 1 << 64) for i in range(4096)], np.uint64) for shift in (12, 24))
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -79,6 +84,15 @@ END = np.uint64(2)
 START = np.uint64(4)
 
 
+def coefficients(place: np.ndarray) -> np.ndarray:
+    """A power of its own for each place in a word, however long the word."""
+    out = _POWERS[place & 4095]
+    far = np.flatnonzero(place > 4095)
+    if len(far):
+        out[far] *= _STEPS[0][place[far] >> 12 & 4095] * _STEPS[1][place[far] >> 24]
+    return out
+
+
 def hash_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all tokens of the texts in order, tokens of each text); hashes are even numbers."""
     data = np.frombuffer(b" ".join(texts).translate(_LOWER) + b" ", np.uint8)
@@ -91,7 +105,7 @@ def hash_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out = np.full(len(begins) + len(texts), END, np.uint64)
     if len(begins):
         place = np.arange(len(data)) - np.repeat(np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(data)]])))
-        values = _VALUES[data] * _POWERS[place & 4095]
+        values = _VALUES[data] * coefficients(place)
         values[space] = 0
         hashed = mix(np.add.reduceat(values, begins) + (ends - begins).astype(np.uint64)) & ~np.uint64(1)
         at = np.ones(len(out), bool)

@@ -90,3 +90,18 @@ def test_weights_are_fitted_on_all_training_texts(spark):
     finally:
         lm.code_scores = real
     assert held == [16000]
+
+
+def test_long_words_that_differ_far_inside_have_hashes_of_their_own():
+    word = bytearray(b"ab" * 20_000)
+    other = bytearray(word)
+    other[5], other[5 + 4096 * 3 + 1] = word[5 + 4096 * 3 + 1], word[5]
+    assert word != other
+    swapped = bytearray(word)
+    swapped[10], swapped[10 + 4096] = ord("x"), ord("y")
+    back = bytearray(word)
+    back[10], back[10 + 4096] = ord("y"), ord("x")
+    hashes = [int(lm.hash_tokens([bytes(w)])[0][0]) for w in (word, other, swapped, back)]
+    assert len(set(hashes)) == 4
+    place = np.array([0, 4095, 4096, 70_000, (1 << 24) + 5])
+    assert lm.coefficients(place).tolist() == [pow(lm._ODD, int(i) + 1, 1 << 64) for i in place]
