@@ -165,31 +165,56 @@ def parse(page: str) -> Node:
     return root
 
 
+def _score(a: Node, b: Node, held: dict[tuple[int, int], list[list[int]]]) -> int:
+    """The most nodes that match in order below two nodes of equal tag and class, themselves included; ``held`` keeps the tables."""
+    above = [0] * (len(b.children) + 1)
+    table = [above]
+    for p in a.children:
+        tag, key, leaf = p.tag, p.key, not p.children
+        left, row = 0, [0]
+        for j, q in enumerate(b.children):
+            most = above[j + 1]
+            if left > most:
+                most = left
+            if q.tag == tag and q.key == key:
+                own = above[j] + (1 if leaf or not q.children else _score(p, q, held))
+                if own > most:
+                    most = own
+            left = most
+            row.append(most)
+        table.append(row)
+        above = row
+    held[id(a), id(b)] = table
+    return 1 + above[-1]
+
+
 def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int:
     """Simple tree matching: the most nodes of ``a`` and ``b`` that match in order; fills ``pairs``."""
     if a.tag != b.tag or a.key != b.key:
         return 0
-    if pairs is not None:
-        pairs.append((a, b))
-    x, y = a.children, b.children
-    if not x or not y:
-        return 1
-    score = [[match(p, q) for q in y] for p in x]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x)):
-        for j in range(len(y)):
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + score[i][j])
-    if pairs is not None:
-        i, j = len(x), len(y)
+    held: dict[tuple[int, int], list[list[int]]] = {}
+    total = _score(a, b, held)
+    todo = [(a, b)] if pairs is not None else []
+    while todo:
+        p, q = todo.pop()
+        pairs.append((p, q))
+        table = held.get((id(p), id(q)))
+        if not table:
+            continue
+        i, j = len(p.children), len(q.children)
         while i and j:
-            if score[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + score[i - 1][j - 1]:
-                match(x[i - 1], y[j - 1], pairs)
-                i, j = i - 1, j - 1
-            elif best[i][j] == best[i - 1][j]:
+            x, y = p.children[i - 1], q.children[j - 1]
+            if x.tag == y.tag and x.key == y.key:
+                own = held.get((id(x), id(y)))
+                if table[i][j] == table[i - 1][j - 1] + (1 + own[-1][-1] if own else 1):
+                    todo.append((x, y))
+                    i, j = i - 1, j - 1
+                    continue
+            if table[i][j] == table[i - 1][j]:
                 i -= 1
             else:
                 j -= 1
-    return 1 + best[-1][-1]
+    return total
 
 
 def flat(text: str) -> str:
@@ -305,13 +330,13 @@ class Wrapper:
         match(self.root, page, pairs)
         return {id(w): n for w, n in pairs}
 
-    def digest(self, page: str) -> list[int]:
-        """For each node of the seed: a text is 0 if missing, 1 if it differs, 2 if it is equal; an element has its varying text."""
+    def digest(self, page: str) -> tuple[list[int], int]:
+        """(for each node of the seed: a text is 0 if missing, 1 if it differs, 2 if it is equal, an element has its varying text; the length of all text)."""
         tree = parse(page)
         at = self.align(tree)
         state = {k: 2 if checksum(at[k].text) == v else 1 for k, v in self.sums.items() if k in at}
         volume = varying(tree, {id(at[k]) for k, v in state.items() if v == 2})
-        return [state.get(id(w), 0) if w.tag == "#" else volume.get(id(at[id(w)]), 0) if id(w) in at else 0 for w in self.order]
+        return [state.get(id(w), 0) if w.tag == "#" else volume.get(id(at[id(w)]), 0) if id(w) in at else 0 for w in self.order], sum(len(flat(n.text)) for n in nodes(tree) if n.tag == "#")
 
     def decide(self, pages: int, total: list[int], aligned: list[int], equal: list[int], length: int) -> str:
         """The wrapper as JSON from the sums of all digests; ``length`` is the text of all pages, links included."""
@@ -431,9 +456,9 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, Wrapper] = {}
         for b in batches:
-            seen = [(_held(cache, w), page) for page, w in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            length = [sum(len(flat(n.text)) for n in nodes(parse(page)) if n.tag == "#") for _, page in seen]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([w.digest(page) for w, page in seen], pa.list_(pa.int32())), pa.array(length, pa.int64())], names=["host", "h", "d", "length"])
+            made = [_held(cache, w).digest(page) for page, w in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            cols = [pa.array([d for d, _ in made], pa.list_(pa.int32())), pa.array([n for _, n in made], pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["host", "h", "d", "length"])
 
     each = joined.mapInArrow(digests, "host string, h long, d array<int>, length long").groupBy("host", "h").agg(F.first("d").alias("d"), F.first("length").alias("length"))
     each = materialize(each, "digests")

@@ -57,9 +57,9 @@ def test_deep_nesting_and_long_pages_stay_cheap():
 def decided(pages):
     """The wrapper of a few pages, without Spark."""
     seed = wrapper.Wrapper(wrapper.induce(pages))
-    rows = [seed.digest(p) for p in pages]
+    made = [seed.digest(p) for p in pages]
+    rows, length = [d for d, _ in made], sum(n for _, n in made)
     cols = list(zip(*rows, strict=True))
-    length = sum(len(wrapper.flat(n.text)) for p in pages for n in wrapper.nodes(wrapper.parse(p)) if n.tag == "#")
     return wrapper.Wrapper(seed.decide(len(rows), [sum(c) for c in cols], [sum(v > 0 for v in c) for c in cols], [sum(v == 2 for v in c) for c in cols], length))
 
 
