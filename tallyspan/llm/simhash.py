@@ -14,8 +14,11 @@ whoever reaches one of these within one bit is within three bits of all others
 there, and conversely every pair within three bits meets at such a place.
 
 Null texts and texts without words have fingerprint zero and are linked like
-any other. Repeated rows and repeated doc_ids stay, one result row each; a
-null doc_id is never a component id unless its whole component has none.
+any other. Very long texts are hashed whole, in parts. Ties: a bit set in exactly
+half the hashes is 0. Repeated rows and repeated doc_ids stay, one result row
+each; a null doc_id is never a component id unless its whole component has none.
+An empty table gives an empty result. Only the key and the text are read
+(``keep_first`` carries all columns along), so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -103,13 +106,18 @@ def links(nodes: DataFrame, bucket_rows: int = 64) -> DataFrame:
 
 def components(marked: DataFrame, key: str = "doc_id", bucket_rows: int = 64) -> DataFrame:
     """``(key, fp, component_id)`` for rows ``(key, fp)``; the id is the smallest key reachable."""
+    return marked.join(_named(marked, key, bucket_rows).hint("merge"), "fp").select(key, "fp", "component_id")
+
+
+def _named(marked: DataFrame, key: str, bucket_rows: int) -> DataFrame:
+    """``(fp, root, component_id)`` for each fingerprint; the root is a fingerprint of the component."""
     nodes = materialize(marked.groupBy("fp").agg(F.min(key).alias("low")), "simhash-nodes")
     comp = connected_components(links(nodes, bucket_rows))
-    tied = nodes.join(comp, nodes["fp"] == comp["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    # merge joins: these tables grow with the corpus and are never broadcast
+    tied = nodes.join(comp.hint("merge"), nodes["fp"] == comp["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
     tied = materialize(tied, "simhash-roots")
     ids = tied.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = tied.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(key, "fp", "component_id")
+    return tied.join(ids.hint("merge"), "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_rows: int = 64) -> DataFrame:
@@ -118,7 +126,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component; rows without a key stay."""
-    found = near_duplicates(docs.select(key, text), key, text)
+    """One row of ``docs`` for each component, the one whose key is its id.
+
+    Where rows repeat a key, one of those that bear the component's stays. A
+    row without a key stays only where its whole component has none, one of it.
+    """
+    marked = materialize(fingerprints(docs, key, text), "simhash")
+    named = materialize(_named(marked, key, 64), "simhash-named")
+    found = materialize(marked.filter(F.col(key).isNotNull()).join(named.hint("merge"), "fp").select(key, "component_id"), "simhash-found")
     gone = found.filter(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.filter(F.col(key).isNotNull()).join(gone.hint("merge"), key, "left_anti").select(*columns)
+    again = materialize(found.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "simhash-again")
+    if not again.isEmpty():
+        kept = materialize(kept, "simhash-kept")
+        once = kept.join(again.hint("merge"), key, "left_anti").select(*columns)
+        kept = once.unionByName(kept.join(again.hint("merge"), key, "left_semi").dropDuplicates([key]).select(*columns))
+    if marked.filter(F.col(key).isNull()).isEmpty():
+        return kept
+    row = docs.filter(F.col(key).isNull()).select(F.struct(*columns).alias("__row"), F.col(text).alias(text))
+    without = map_texts(row, lambda texts: {"fp": [fingerprint(t) for t in texts]}, "fp long", ["__row"], text)
+    without = without.join(named.filter("component_id is null").hint("merge"), "fp").dropDuplicates(["root"]).select("__row.*")
+    return kept.unionByName(without)

@@ -78,6 +78,9 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert got == [(-1, 3), (1, 1), (2, 1), (3, 3), (3, 3), (7, 7)]
     kept = simhash.keep_first(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 3, 3, 7]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 7]
+    unnamed = spark.createDataFrame([(None, "no key at all here", None, "s", 1)] * 3 + rows, SCHEMA)
+    assert sorted(r.doc_id or -1 for r in simhash.keep_first(unnamed).collect()) == [-1, 1, 3, 7]
+    assert simhash.keep_first(df.limit(0)).count() == 0
     assert simhash.near_duplicates(df.limit(0)).count() == 0
     assert simhash.near_duplicates(df.filter(F.col("doc_id") == 7)).collect()[0].component_id == 7
