@@ -20,10 +20,10 @@ def _star(rows: DataFrame, keep: Column) -> DataFrame:
     """Connect the kept neighbours of every node with the smallest node around it.
 
     The minima are written first: a join of two plain shuffles is one whose hot
-    keys Spark can split.
+    keys Spark can split. Node tables grow with the input and are never broadcast.
     """
     low = materialize(rows.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "cc-low")
-    joined = rows.filter(keep).join(low, "u")
+    joined = rows.filter(keep).join(low.hint("merge"), "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
@@ -46,7 +46,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = materialize(_star(both, F.col("v") > F.col("u")).distinct(), "cc-large")
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
-        moved = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(low.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(low.select("u", F.col("m").alias("v")))
         small = small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
         e = materialize(small.distinct(), "cc")
