@@ -31,6 +31,21 @@ def ranked_links(items: DataFrame, votes: DataFrame, item_id: str, vote_id: str,
     return best
 
 
+def lead_positions(positions: DataFrame, item: str, title: str, order: list[str]) -> DataFrame:
+    """``(item, title)``: the title of each item's first position that has one; blank titles are none."""
+    named = positions.filter(F.trim(F.coalesce(title, F.lit(""))) != "")
+    return named.groupBy(item).agg(F.min_by(title, F.struct(*order)).alias(title))
+
+
+def single_subject(positions: DataFrame, item: str, subject: str, minor: str) -> DataFrame:
+    """``(item, subject)`` of the items that are about one subject only; minor positions count only where an item has no other."""
+    main = F.coalesce(~F.col(minor), F.lit(True))
+    each = positions.filter(F.col(subject).isNotNull()).groupBy(item).agg(
+        F.count_distinct(F.when(main, F.col(subject))).alias("__main"), F.count_distinct(subject).alias("__all"), F.min(F.when(main, F.col(subject))).alias("__m"), F.min(subject).alias("__s")
+    )
+    return each.filter("__main = 1 or (__main = 0 and __all = 1)").select(item, F.coalesce("__m", "__s").alias(subject))
+
+
 def subset_links(left: DataFrame, right: DataFrame, left_id: str, right_id: str, scope: str, tokens: str) -> DataFrame:
     """Pairs of a scope where the left set lies within the right one and within no rival: the only container links."""
     x = left.select(scope, F.col(left_id).alias("l"), F.col(tokens).alias("a")).filter(F.size("a") > 0)

@@ -51,25 +51,33 @@ def periods_of(stored: DataFrame, expected: DataFrame, key: str = "unit", period
 
 
 def observe(candidates: DataFrame, spec: MetricSpec, periods: DataFrame, period: str = "period") -> DataFrame:
-    """``(period, value, denominator, cited, n)`` for every period.
+    """``(period, value, denominator, cited, topic, n)`` for every period.
 
-    Candidates have ``id, value`` and optionally ``denominator, group_id``.
-    The extreme's ties go to the lowest id; a count of nothing is 0; an extreme
-    of nothing is no observation.
+    Candidates have ``id, value`` and optionally ``denominator, group_id,
+    topic, tie_value``. The extreme's ties go to the highest ``tie_value``,
+    then to the lowest id; a count of nothing is 0; an extreme of nothing is no
+    observation. Grouped extremes add up value, denominator and tie value of
+    each group, whose topic is the first of its topics.
     """
     rows = candidates.filter(F.col("value").isNotNull())
-    if "denominator" not in rows.columns:
-        rows = rows.withColumn("denominator", F.lit(None).cast("long"))
+    for name, kind in (("denominator", "long"), ("topic", "string"), ("tie_value", "double")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
     sign = -1 if spec.direction == "max" else 1
     if spec.aggregation == "count":
-        got = rows.groupBy(period).agg(F.count(F.lit(1)).cast("double").alias("value"), F.lit(None).cast("long").alias("denominator"), F.min_by("id", id_sort_key("id")).alias("cited"), F.count(F.lit(1)).alias("n"))
+        got = rows.groupBy(period).agg(
+            F.count(F.lit(1)).cast("double").alias("value"), F.lit(None).cast("long").alias("denominator"), F.min_by("id", id_sort_key("id")).alias("cited"),
+            F.min_by("topic", id_sort_key("id")).alias("topic"), F.count(F.lit(1)).alias("n"),
+        )
         out = periods.select(period).join(got, period, "left")
         return out.withColumn("value", F.coalesce("value", F.lit(0.0))).withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     if spec.aggregation == "grouped_extreme":
-        rows = rows.groupBy(period, F.col("group_id").alias("id")).agg(F.sum("value").alias("value"), F.sum("denominator").alias("denominator"))
-    order = F.struct((sign * F.col("value")).alias("v"), id_sort_key("id").alias("k"))
-    best = rows.groupBy(period).agg(F.min_by(F.struct("value", "denominator", "id"), order).alias("b"), F.count(F.lit(1)).alias("n"))
-    flat = best.select(period, F.col("b.value").cast("double").alias("value"), F.col("b.denominator").alias("denominator"), F.col("b.id").alias("cited"), "n")
+        rows = rows.groupBy(period, F.col("group_id").alias("id")).agg(
+            F.sum("value").alias("value"), F.sum("denominator").alias("denominator"), F.min("topic").alias("topic"), F.sum("tie_value").alias("tie_value")
+        )
+    order = F.struct((sign * F.col("value")).alias("v"), F.coalesce(-F.col("tie_value"), F.lit(0.0)).alias("t"), id_sort_key("id").alias("k"))
+    best = rows.groupBy(period).agg(F.min_by(F.struct("value", "denominator", "id", "topic"), order).alias("b"), F.count(F.lit(1)).alias("n"))
+    flat = best.select(period, F.col("b.value").cast("double").alias("value"), F.col("b.denominator").alias("denominator"), F.col("b.id").alias("cited"), F.col("b.topic").alias("topic"), "n")
     return periods.select(period).join(flat, period, "left")
 
 
@@ -77,29 +85,44 @@ def strict_prior(rows: DataFrame, by: list[str], order: str, value: str, term: s
     """Baseline columns from strictly earlier usable rows: the same term if it has enough of them, else all.
 
     Adds ``base_kind, base_n, base_from, base_to, eligible, percentile``; the
-    percentile is the share of baseline values strictly beaten. Rows per
-    partition are periods, so the collected history stays small.
+    percentile is the share of baseline values strictly beaten. The history is
+    one small row for each different (``by``, order, term, value), met by a
+    range join whose matches are counted as they come; no row holds a history.
     """
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    entry = F.when(usable, F.struct(F.col(term).alias("term"), F.col(value).alias("v"), F.col(order).alias("o")))
-    out = rows.withColumn("__prior", F.collect_list(entry).over(w))
-    same = F.filter("__prior", lambda x: x["term"].eqNullSafe(F.col(term)))
-    out = out.withColumn("__same", F.size(same) >= min_history).withColumn("__base", F.when(F.col("__same"), same).otherwise(F.col("__prior")))
-    beaten = F.size(F.filter("__base", lambda x: F.when(direction == "max", F.col(value) > x["v"]).otherwise(F.col(value) < x["v"])))
-    n = F.size("__base")
+    marked = rows.withColumn("__max", direction == "max").withColumn("__least", min_history).withColumn("__ok", F.coalesce(usable, F.lit(False)))
+    point = [*by, order, term, value, "__max"]
+    past = marked.filter("__ok").groupBy(*by, order, term, value).agg(F.count(F.lit(1)).alias("__n"))
+    past = past.select(*[F.col(c).alias(f"__{c}") for c in by], F.col(order).alias("__o"), F.col(term).alias("__t"), F.col(value).alias("__v"), "__n")
+    now = marked.select(*point).distinct()
+    earlier = F.col("__o") < F.col(order)
+    for c in by:
+        earlier = earlier & F.col(f"__{c}").eqNullSafe(F.col(c))
+    own = F.col("__t").eqNullSafe(F.col(term))
+    beaten = F.coalesce(F.when(F.col("__max"), F.col(value) > F.col("__v")).otherwise(F.col(value) < F.col("__v")), F.lit(False))
+    n = lambda *when: F.coalesce(F.sum(F.when(F.lit(True) if not when else when[0] if len(when) == 1 else when[0] & when[1], F.col("__n"))), F.lit(0))
+    found = now.join(past, earlier, "left").groupBy(*point).agg(
+        n().alias("__n_all"), n(own).alias("__n_term"), n(beaten).alias("__k_all"), n(own, beaten).alias("__k_term"),
+        F.min("__o").alias("__from_all"), F.max("__o").alias("__to_all"), F.min(F.when(own, F.col("__o"))).alias("__from_term"), F.max(F.when(own, F.col("__o"))).alias("__to_term"),
+    )
+    keys = F.lit(True)
+    for c in point:
+        keys = keys & marked[c].eqNullSafe(found[c])
+    joined = marked.join(found, keys).select(marked["*"], *[found[c] for c in found.columns if c not in point])
+    same = F.col("__n_term") >= F.col("__least")
+    pick = lambda c: F.when(same, F.col(f"__{c}_term")).otherwise(F.col(f"__{c}_all"))
     return (
-        out.withColumn("base_kind", F.when(F.col("__same"), "term").otherwise("all"))
-        .withColumn("base_n", n)
-        .withColumn("base_from", F.array_min(F.transform("__base", lambda x: x["o"])))
-        .withColumn("base_to", F.array_max(F.transform("__base", lambda x: x["o"])))
-        .withColumn("eligible", usable & (n >= min_history))
-        .withColumn("percentile", F.when(usable & (n > 0), beaten / n))
-        .drop("__prior", "__same", "__base")
+        joined.withColumn("base_kind", F.when(same, "term").otherwise("all"))
+        .withColumn("base_n", pick("n").cast("int"))
+        .withColumn("base_from", pick("from"))
+        .withColumn("base_to", pick("to"))
+        .withColumn("eligible", F.col("__ok") & (F.col("base_n") >= F.col("__least")))
+        .withColumn("percentile", F.when(F.col("__ok") & (F.col("base_n") > 0), pick("k") / F.col("base_n")))
+        .drop(*[c for c in joined.columns if c.startswith("__")])
     )
 
 
 def withheld_reason(floor: float = 0.5, topic: str | None = None) -> Column:
-    """The first gate that a fact fails, null if it is posted. Needs value, eligible, percentile, min_value, requires_topic."""
+    """The first gate that a fact fails, null if it is posted. Needs value, eligible, percentile, min_value, requires_topic, and a ``topic`` column if any metric requires one."""
     has_topic = F.col(topic).isNotNull() if topic else F.lit(False)
     return (
         F.when(F.col("value").isNull(), "no_observation")
@@ -125,7 +148,7 @@ def compute_facts(candidates: dict[str, DataFrame], specs: list[MetricSpec], per
         o = observe(candidates[s.metric_id], s, periods, period)
         o = o.select(
             F.lit(s.metric_id).alias("metric_id"), F.lit(s.direction).alias("direction"), F.lit(s.min_history).alias("min_history"), F.lit(s.tie_rank).alias("tie_rank"),
-            F.lit(s.min_value).cast("double").alias("min_value"), F.lit(s.requires_topic).alias("requires_topic"), period, "value", "denominator", F.col("cited").cast("string").alias("cited"), "n",
+            F.lit(s.min_value).cast("double").alias("min_value"), F.lit(s.requires_topic).alias("requires_topic"), period, "value", "denominator", F.col("cited").cast("string").alias("cited"), "topic", "n",
         )
         parts.append(o)
     rows = parts[0]
@@ -135,4 +158,4 @@ def compute_facts(candidates: dict[str, DataFrame], specs: list[MetricSpec], per
     rows = rows.withColumn("value", F.when(F.col("complete"), F.col("value")))
     usable = F.col("complete") & F.col("value").isNotNull()
     rows = strict_prior(rows, ["metric_id"], order, "value", term, usable, F.col("direction"), F.col("min_history"))
-    return rank_facts(rows.withColumn("withheld", withheld_reason(floor)), period)
+    return rank_facts(rows.withColumn("withheld", withheld_reason(floor, "topic")), period)

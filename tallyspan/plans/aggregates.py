@@ -48,27 +48,30 @@ def a3_refiled_counts(spark, d):
 
 @query(f"with {B.COUNTS}, {COVERS} select * from cover")
 def a4_groups_cover_total(spark, d):
-    return plurality.covers_total(B.counts(spark, d), B.totals(spark, d), "vote")
+    latest = B.latest(spark, d)
+    return plurality.covers_total(B.counts(spark, d, latest), B.totals(spark, d, latest), "vote")
 
 
 @query(f"with {STATES} select * from groups")
 def a5_deviators(spark, d):
-    return plurality.deviators(B.latest(spark, d), B.counts(spark, d), "vote", ("G4",))
+    latest = B.latest(spark, d)
+    return plurality.deviators(latest, B.counts(spark, d, latest), "vote", ("G4",))
 
 
 @query(f"""with {STATES}, {COVERS}, per as (select vote, bool_and(state = 'complete') as ok, cast(sum(n_deviators) as bigint) as n from groups group by vote)
 select cover.vote, case when ok and covers then n end as n_deviators from cover left join per on cover.vote = per.vote""")
 def a6_vote_deviators(spark, d):
-    counts = B.counts(spark, d)
-    groups = plurality.deviators(B.latest(spark, d), counts, "vote", ("G4",))
-    return plurality.deviator_count(groups, plurality.covers_total(counts, B.totals(spark, d), "vote"), "vote")
+    latest = B.latest(spark, d)
+    counts = B.counts(spark, d, latest)
+    groups = plurality.deviators(latest, counts, "vote", ("G4",))
+    return plurality.deviator_count(groups, plurality.covers_total(counts, B.totals(spark, d, latest), "vote"), "vote")
 
 
 @query(f"""with {STATES} select l.vote, l.member, case when state = 'complete' then case when ("leading" = 'yes' and stance = 'no') or ("leading" = 'no' and stance = 'yes') then 1 else 0 end end as deviates
 from latest l left join groups g on l.vote = g.vote and l.grp = g.grp""")
 def a7_member_flags(spark, d):
     latest = B.latest(spark, d)
-    groups = plurality.deviators(latest, B.counts(spark, d), "vote", ("G4",))
+    groups = plurality.deviators(latest, B.counts(spark, d, latest), "vote", ("G4",))
     return plurality.member_flags(latest, groups, "vote").select("vote", "member", "deviates")
 
 

@@ -57,8 +57,8 @@ def counts(spark, d: str, members: DataFrame | None = None) -> DataFrame:
     return rows.withColumn("yes", F.col("yes") + F.when(F.col("vote") % 7 == 0, 1).otherwise(0))
 
 
-def totals(spark, d: str) -> DataFrame:
-    return _stances(latest(spark, d), ["vote"]).withColumn("yes", F.when(F.col("vote") % 13 != 0, F.col("yes")))
+def totals(spark, d: str, members: DataFrame | None = None) -> DataFrame:
+    return _stances(latest(spark, d) if members is None else members, ["vote"]).withColumn("yes", F.when(F.col("vote") % 13 != 0, F.col("yes")))
 
 
 def episodes(spark, d: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspan.functions import scalars as S
-from tallyspan.operators import periods, quality, ranking
+from tallyspan.operators import linking, periods, plurality, quality, ranking
+from tallyspan.plans import bindings as B
+from tallyspan.plans.aggregates import COVERS, STATES
 from tallyspan.plans.registry import query
 from tallyspan.tables import table
 
@@ -36,20 +38,36 @@ SPECS = [
     periods.MetricSpec("first_orders", aggregation="count", min_history=12, tie_rank=4),
     periods.MetricSpec("longest_shipping", min_history=6, tie_rank=5),
     periods.MetricSpec("most_parts", min_history=6, tie_rank=6, requires_topic=True),
+    periods.MetricSpec("most_deviators", min_history=6, tie_rank=7, min_value=3),
+    periods.MetricSpec("most_discussed", aggregation="grouped_extreme", min_history=6, tie_rank=8),
 ]
 
-MONTH_FACTS = """o as (select *, strftime(o_orderdate, '%Y-%m') as period from orders),
+#: The lead part of an order: a promoted one first, then the lowest key; parts of size 1 to 9 have no title.
+LEAD = """leads as (select l_orderkey, min_by(title, (case when p_type like 'PROMO%' then 0 else 1 end, p_partkey)) as topic
+ from (select l_orderkey, p_partkey, p_type, case when p_size >= 10 then trim(p_name) end as title from lineitem join part on l_partkey = p_partkey) where coalesce(title, '') <> '' group by 1)"""
+#: The brand of an order that is about one brand only; promoted parts count only where nothing else is there.
+SINGLE = """own as (select distinct l_orderkey, p_brand, p_type like 'PROMO%' as minor from lineitem join part on l_partkey = p_partkey),
+heard as (select l_orderkey, p_brand from own where not minor union select l_orderkey, p_brand from own where l_orderkey not in (select l_orderkey from own where not minor)),
+single as (select l_orderkey, min(p_brand) as brand from heard group by 1 having count(*) = 1)"""
+VOTES = f"""per_vote as (select vote, bool_and(state = 'complete') as ok, cast(sum(n_deviators) as bigint) as n from groups group by vote),
+voted as (select vote, strftime(max(l_shipdate), '%Y-%m') as period from latest group by vote),
+counted as (select voted.period, cover.vote, case when ok and covers then n end as n from cover join per_vote on cover.vote = per_vote.vote join voted on cover.vote = voted.vote)"""
+
+MONTH_FACTS = STATES + ", " + COVERS + ", " + VOTES + ", " + LEAD + ", " + SINGLE + """,
+o as (select *, strftime(o_orderdate, '%Y-%m') as period from orders),
 m as (select period, cast(left(period, 4) as bigint) as term, count(distinct o_orderdate) >= 28 as complete from o group by 1),
 days as (select period, o_orderdate, count(*) filter (o_orderstatus = 'F') as f, count(*) filter (o_orderstatus = 'O') as p from o group by 1, 2),
 obs as (
- select 'largest_order' as metric_id, 'max' as direction, 6 as least, 1 as tie_rank, null::double as min_value, false as topic, period, max(round(o_totalprice * 100)) as value from o group by period
- union all select 'closest_margin', 'min', 8, 2, null, false, period, min(abs(f - p) / (f + p)::double) from days where f + p > 0 group by period
- union all select 'busiest_customer', 'max', 6, 3, 4, false, period, max(n) from (select period, o_custkey, count(*) as n from o group by 1, 2) group by period
- union all select 'first_orders', 'max', 12, 4, null, false, m.period, (select count(*) from (select o_custkey, min_by(period, (o_orderdate, o_orderkey)) as period from o group by 1) x where x.period = m.period) from m
- union all select 'longest_shipping', 'max', 6, 5, null, false, period, max(date_diff('day', o_orderdate, l_shipdate)) from o join lineitem on o_orderkey = l_orderkey group by period
- union all select 'most_parts', 'max', 6, 6, null, true, period, max(n) from (select period, o_orderkey, count(*) as n from o join lineitem on o_orderkey = l_orderkey group by 1, 2) group by period),
-k as (select distinct metric_id, direction, least, tie_rank, min_value, topic from obs),
-v as (select k.*, m.period, m.term, case when complete then value end as value from k cross join m left join obs on obs.period = m.period and obs.metric_id = k.metric_id),
+ select 'largest_order' as metric_id, 'max' as direction, 6 as least, 1 as tie_rank, null::double as min_value, false as needs, period, max(round(o_totalprice * 100)) as value, null as topic from o group by period
+ union all select 'closest_margin', 'min', 8, 2, null, false, period, min(abs(f - p) / (f + p)::double), null from days where f + p > 0 group by period
+ union all select 'busiest_customer', 'max', 6, 3, 4, false, period, max(n), null from (select period, o_custkey, count(*) as n from o group by 1, 2) group by period
+ union all select 'first_orders', 'max', 12, 4, null, false, m.period, (select count(*) from (select o_custkey, min_by(period, (o_orderdate, o_orderkey)) as period from o group by 1) x where x.period = m.period), null from m
+ union all select 'longest_shipping', 'max', 6, 5, null, false, period, max(date_diff('day', o_orderdate, l_shipdate)), null from o join lineitem on o_orderkey = l_orderkey group by period
+ union all select 'most_parts', 'max', 6, 6, null, true, period, max(n), nullif(max_by(coalesce(topic, ''), (n, -o_orderkey)), '') from (select period, o_orderkey, count(*) as n from o join lineitem on o_orderkey = l_orderkey group by 1, 2) x left join leads on x.o_orderkey = leads.l_orderkey group by period
+ union all select 'most_deviators', 'max', 6, 7, 3, false, period, max(n), null from counted where n is not null group by period
+ union all select 'most_discussed', 'max', 6, 8, null, false, period, max(n), null from (select period, brand, count(*) as n from o join single on o_orderkey = single.l_orderkey join lineitem on lineitem.l_orderkey = o_orderkey group by 1, 2) group by period),
+k as (select distinct metric_id, direction, least, tie_rank, min_value, needs from obs),
+v as (select k.*, m.period, m.term, obs.topic, case when complete then value end as value from k cross join m left join obs on obs.period = m.period and obs.metric_id = k.metric_id),
 b as (select a.metric_id, a.period, count(b.value) as n_all, count(b.value) filter (b.term = a.term) as n_term,
  count(*) filter (case when a.direction = 'max' then a.value > b.value else a.value < b.value end) as k_all,
  count(*) filter (b.term = a.term and case when a.direction = 'max' then a.value > b.value else a.value < b.value end) as k_term
@@ -57,7 +75,7 @@ b as (select a.metric_id, a.period, count(b.value) as n_all, count(b.value) filt
 f as (select v.*, n_term >= least as own, case when n_term >= least then n_term else n_all end as base_n, case when n_term >= least then k_term else k_all end as k from v join b on v.metric_id = b.metric_id and v.period = b.period),
 g as (select *, case when value is not null and base_n > 0 then k / base_n::double end as percentile from f)"""
 REASON = """case when value is null then 'no_observation' when base_n < least or percentile is null then 'not_comparable' when min_value is not null and value < min_value then 'below_min_value'
- when topic then 'no_topic' when percentile < {floor} then 'below_floor' end"""
+ when needs and topic is null then 'no_topic' when percentile < {floor} then 'below_floor' end"""
 
 
 def month_facts(spark, d, floor: float = 0.5):
@@ -68,13 +86,26 @@ def month_facts(spark, d, floor: float = 0.5):
     lines = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     first = ranking.first_rows(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")])
     key = F.col("o_orderkey").cast("string").alias("id")
+    parts = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    minor = F.col("p_type").startswith("PROMO")
+    title = F.when(F.col("p_size") >= 10, F.trim("p_name"))
+    leads = linking.lead_positions(parts.select("l_orderkey", title.alias("title"), F.when(minor, 0).otherwise(1).alias("order_no"), "p_partkey"), "l_orderkey", "title", ["order_no", "p_partkey"])
+    single = linking.single_subject(parts.select("l_orderkey", F.col("p_brand").alias("brand"), minor.alias("minor")), "l_orderkey", "brand", "minor")
+    sizes = lines.groupBy("period", "o_orderkey").agg(F.count(F.lit(1)).alias("value"))
+    latest = B.latest(spark, d)
+    counts = B.counts(spark, d, latest)
+    groups = plurality.deviators(latest, counts, "vote", ("G4",))
+    voted = latest.groupBy("vote").agg(F.date_format(F.max("l_shipdate"), "yyyy-MM").alias("period"))
+    deviators = plurality.deviator_count(groups, plurality.covers_total(counts, B.totals(spark, d, latest), "vote"), "vote")
     candidates = {
         "largest_order": o.select("period", key, F.round(F.col("o_totalprice") * 100).alias("value")),
         "closest_margin": days.select("period", "id", S.margin("f", "p").alias("value")),
         "busiest_customer": o.select("period", F.col("o_custkey").cast("string").alias("group_id"), F.lit(1).alias("value"), key),
         "first_orders": first.select("period", key, F.lit(1).alias("value")),
         "longest_shipping": lines.select("period", key, F.datediff("l_shipdate", "o_orderdate").alias("value")),
-        "most_parts": lines.groupBy("period", key).agg(F.count(F.lit(1)).alias("value")),
+        "most_parts": sizes.join(leads, sizes["o_orderkey"] == leads["l_orderkey"], "left").select("period", key, "value", F.col("title").alias("topic")),
+        "most_deviators": deviators.join(voted, "vote").select("period", F.col("vote").cast("string").alias("id"), F.col("n_deviators").alias("value")),
+        "most_discussed": sizes.join(single, sizes["o_orderkey"] == single["l_orderkey"]).select("period", F.col("brand").alias("group_id"), "value", key),
     }
     return periods.compute_facts(candidates, SPECS, months, floor)
 
@@ -92,7 +123,7 @@ select floor, metric_id, count(*) filter (withheld is null) as posted, count(*)
 def x19_floor_replay(spark, d):
     floors = spark.createDataFrame([(0.25,), (0.5,), (0.75,)], "floor double")
     rows = month_facts(spark, d).drop("withheld", "rank").crossJoin(F.broadcast(floors))  # three rows
-    marked = rows.withColumn("withheld", periods.withheld_reason(F.col("floor")))
+    marked = rows.withColumn("withheld", periods.withheld_reason(F.col("floor"), "topic"))
     return marked.groupBy("floor", "metric_id").agg(F.count_if(F.col("withheld").isNull()).alias("posted"), F.count_if(F.col("withheld") == "below_floor").alias("below_floor"), F.count(F.lit(1)).alias("n"))
 
 

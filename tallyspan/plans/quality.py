@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyspan.operators import diffs, intervals, plurality
 from tallyspan.operators import quality as Q
 from tallyspan.plans import bindings as B
+from tallyspan.plans.aggregates import STATES
 from tallyspan.plans.registry import query
 from tallyspan.sources import sinks
 from tallyspan.tables import table
@@ -73,10 +74,13 @@ def c8_quarantine(spark, d):
     return clean.select(F.lit("clean").alias("state")).unionByName(held.select(F.col("reason").alias("state"))).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select 'deviator_sum' as invariant, 0::bigint as violations union all select 'null_key', 0 union all select 'orphan_lines', (select count(*) from lineitem where l_orderkey not in (select o_orderkey from orders)) union all select 'repeated_lines', (select count(*) from (select l_orderkey, l_linenumber from lineitem group by 1, 2 having count(*) > 1))")
+@query(f"""with {STATES}, named as (select l.vote, l.grp, cast(sum(case when ("leading" = 'yes' and stance = 'no') or ("leading" = 'no' and stance = 'yes') then 1 else 0 end) as bigint) as n
+ from latest l join groups g on l.vote = g.vote and l.grp = g.grp where state = 'complete' group by 1, 2)
+select 'deviator_sum' as invariant, (select count(*) from groups join named on groups.vote = named.vote and groups.grp = named.grp where state = 'complete' and n <> n_deviators) as violations
+union all select 'null_key', (select count(*) from orders where o_orderkey is null) union all select 'orphan_lines', (select count(*) from lineitem where l_orderkey not in (select o_orderkey from orders)) union all select 'repeated_lines', (select count(*) from (select l_orderkey, l_linenumber from lineitem group by 1, 2 having count(*) > 1))""")
 def c9_invariants(spark, d):
     latest = B.latest(spark, d)
-    groups = plurality.deviators(latest, B.counts(spark, d), "vote", ("G4",))
+    groups = plurality.deviators(latest, B.counts(spark, d, latest), "vote", ("G4",))
     flags = plurality.member_flags(latest, groups, "vote").groupBy("vote", "grp").agg(F.sum("deviates").alias("n"))
     off = groups.filter("state = 'complete'").join(flags, ["vote", "grp"]).filter("n <> n_deviators").agg(F.lit("deviator_sum").alias("invariant"), F.count(F.lit(1)).alias("violations"))
     li, o = table(spark, d, "lineitem"), table(spark, d, "orders")

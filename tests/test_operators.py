@@ -161,3 +161,27 @@ def test_scalars(spark):
     assert one(T.paragraphs(F.lit("<p>a &amp; <b>b</b></p><script>var t='</p>';</script><div>c<br>d"))) == ["a & b", "c", "d"]
     assert one(T.operative_part(F.lit("x Beschluss: zusam-\nmen  gut\n\nEnde"), "Beschluss:", "\n\n")) == "zusammen gut"
     assert one(T.operative_part(F.lit("Beschluss: a Beschluss: b"), "Beschluss:", "\n\n")) is None
+
+
+def test_facts_gate_topic_and_tie_value(spark):
+    """A metric that needs a topic is posted with one and withheld without; equal values go to the higher tie value, then the lowest id."""
+    from tallyspan.operators import periods
+
+    weeks = [(f"2024-W{n:02}", n, 2024, n != 4) for n in range(1, 9)]
+    p = spark.createDataFrame(weeks, "period string, period_no int, term int, complete boolean")
+    rows = [(w, "7", float(n), "t" if n != 7 else None, 1.0) for w, n, *_ in weeks] + [(w, i, float(n), "t", t) for w, n, *_ in weeks[7:] for i, t in (("12", 5.0), ("9", 5.0))]
+    c = spark.createDataFrame(rows, "period string, id string, value double, topic string, tie_value double")
+    spec = periods.MetricSpec("m", min_history=3, tie_rank=1, requires_topic=True)
+    got = {r.period_no: r for r in periods.compute_facts({"m": c}, [spec], p).collect()}
+    assert [got[n].withheld for n in range(1, 9)] == ["not_comparable"] * 3 + ["no_observation", None, None, "no_topic", None]
+    assert (got[8].cited, got[8].base_n, got[8].percentile, got[8].base_from, got[8].base_to, got[8].rank) == ("9", 6, 1.0, 1, 7, 1)
+    assert (got[5].base_n, got[4].base_n, got[1].base_n) == (3, 3, 0)
+
+
+def test_lead_positions_and_single_subjects(spark):
+    from tallyspan.operators import linking
+
+    rows = [(1, "  ", 0, 1, "a", False), (1, "law", 1, 5, "a", True), (1, "paper", 1, 2, "b", True), (2, None, 0, 1, None, None), (3, "x", 0, 1, "a", True), (3, "y", 1, 0, "a", True), (4, "z", 0, 0, "a", False), (4, "z", 0, 0, "b", False)]
+    df = spark.createDataFrame(rows, "item int, title string, rank int, id int, subject string, minor boolean")
+    assert sorted(tuple(r) for r in linking.lead_positions(df, "item", "title", ["rank", "id"]).collect()) == [(1, "paper"), (3, "x"), (4, "z")]
+    assert sorted(tuple(r) for r in linking.single_subject(df, "item", "subject", "minor").collect()) == [(1, "a"), (3, "a")]
