@@ -66,10 +66,21 @@ def survivors(entities: DataFrame, ordinal: str, person: str) -> DataFrame:
 
 
 def ambiguous_ids(records: DataFrame, ident: str, words: str) -> DataFrame:
-    """Ids whose records have names that share no word."""
-    one = records.filter(F.col(ident).isNotNull()).select(ident, words).distinct()
-    a, b = one.select(ident, F.col(words).alias("a")), one.select(ident, F.col(words).alias("b"))
-    return a.join(b, ident).filter(~F.arrays_overlap("a", "b")).select(ident).distinct()
+    """Ids whose records have names that share no word.
+
+    An id is told apart by one pass against its least name where that suffices,
+    and is cleared where one word stands in all its names; only the different
+    names of the ids that remain are compared with each other.
+    """
+    one = records.filter(F.col(ident).isNotNull() & F.col(words).isNotNull()).select(ident, F.array_sort(F.array_distinct(words)).alias("w")).distinct()
+    sizes = one.groupBy(ident).agg(F.count(F.lit(1)).alias("n"), F.min("w").alias("least")).filter("n > 1")
+    told = one.join(sizes, ident).filter(~F.arrays_overlap("w", "least")).select(ident).distinct()
+    shared = one.withColumn("word", F.explode("w")).groupBy(ident, "word").agg(F.count(F.lit(1)).alias("k"))
+    cleared = shared.join(sizes, ident).filter("k = n").select(ident).distinct()
+    open_ids = sizes.select(ident).join(told, ident, "left_anti").join(cleared, ident, "left_anti")
+    rest = one.join(open_ids, ident)
+    a, b = rest.select(ident, F.col("w").alias("a")), rest.select(ident, F.col("w").alias("b"))
+    return told.unionByName(a.join(b, ident).filter("a < b").filter(~F.arrays_overlap("a", "b")).select(ident).distinct())
 
 
 def close_aliases(aliases: DataFrame, src: str, dst: str) -> DataFrame:

@@ -34,10 +34,23 @@ def bucket_as_of_join(points: DataFrame, intervals: DataFrame, point_day: str, w
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, keys: list[str], a_id: str, b_id: str, start: str = "start", end: str = "end") -> DataFrame:
-    """Pairs of closed ranges of the same key that overlap."""
-    x = a.select(*keys, F.col(a_id).alias("left_id"), F.col(start).alias("s1"), F.col(end).alias("e1"))
-    y = b.select(*keys, F.col(b_id).alias("right_id"), F.col(start).alias("s2"), F.col(end).alias("e2"))
-    return x.join(y, keys).filter("s1 <= e2 and s2 <= e1").select(*keys, "left_id", "right_id")
+    """Pairs of closed ranges (dates or numbers) of the same key that overlap.
+
+    Ranges are dealt to the buckets that they touch, as wide as the mean
+    length; a pair is found in the first bucket that both touch, so a key with
+    many ranges is many small groups.
+    """
+    number = lambda c, rows: F.datediff(c, F.lit("1970-01-01").cast("date")) if dict(rows.dtypes)[c] in ("date", "timestamp") else F.col(c)
+    sized = lambda rows: rows.select((number(end, rows) - number(start, rows) + 1).cast("double").alias("n"))
+    width = max(1.0, sized(a).unionByName(sized(b)).agg(F.avg("n").alias("n")).first()["n"] or 1.0)
+
+    def dealt(rows: DataFrame, ident: str, side: str, name: str) -> DataFrame:
+        no = lambda c: F.floor(number(c, rows) / width).cast("bigint")
+        kept = rows.filter(F.col(start) <= F.col(end)).select(*keys, F.col(ident).alias(name), F.col(start).alias(f"s{side}"), F.col(end).alias(f"e{side}"), no(start).alias(f"f{side}"), no(end).alias("__last"))
+        return kept.withColumn("__b", F.explode(F.sequence(f"f{side}", "__last"))).drop("__last")
+
+    x, y = dealt(a, a_id, "1", "left_id"), dealt(b, b_id, "2", "right_id")
+    return x.join(y, [*keys, "__b"]).filter("s1 <= e2 and s2 <= e1 and __b = greatest(f1, f2)").select(*keys, "left_id", "right_id")
 
 
 def proved_label(facts: DataFrame, intervals: DataFrame, fact_id: str, key: str, day: str, label: str) -> DataFrame:

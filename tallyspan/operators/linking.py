@@ -47,22 +47,52 @@ def single_subject(positions: DataFrame, item: str, subject: str, minor: str) ->
 
 
 def subset_links(left: DataFrame, right: DataFrame, left_id: str, right_id: str, scope: str, tokens: str) -> DataFrame:
-    """Pairs of a scope where the left set lies within the right one and within no rival: the only container links."""
-    x = left.select(scope, F.col(left_id).alias("l"), F.col(tokens).alias("a")).filter(F.size("a") > 0)
-    y = right.select(scope, F.col(right_id).alias("r"), F.col(tokens).alias("b"))
-    hit = x.join(y, scope).filter(F.size(F.array_except("a", "b")) == 0)
+    """Pairs of a scope where the left set lies within the right one and within no rival: the only container links.
+
+    A container must hold the left set's rarest token of the scope, so only
+    the right sets with that token are compared.
+    """
+    x = left.select(scope, F.col(left_id).alias("l"), F.array_distinct(tokens).alias("a")).filter(F.size("a") > 0)
+    held = right.select(scope, F.col(right_id).alias("r"), F.array_distinct(tokens).alias("b")).withColumn("token", F.explode("b"))
+    often = held.groupBy(scope, "token").agg(F.count(F.lit(1)).alias("often"))
+    each = x.withColumn("token", F.explode("a")).join(often, [scope, "token"], "left")
+    rare = each.groupBy(scope, "l", "a").agg(F.min_by("token", F.struct(F.coalesce("often", F.lit(0)), "token")).alias("token"))
+    hit = rare.join(held, [scope, "token"]).filter(F.size(F.array_except("a", "b")) == 0)
     return hit.groupBy(scope, "l").agg(F.count_distinct("r").alias("n"), F.min("r").alias("r")).filter("n = 1").select(scope, "l", "r")
 
 
 def tally_links(left: DataFrame, right: DataFrame, left_id: str, right_id: str, scope: str, measures: list[str], tolerance: int = 0) -> DataFrame:
-    """The only right row of a scope whose counts are within ``tolerance``; a null count matches any."""
-    x = left.select(scope, F.col(left_id).alias("l"), *[F.col(m).alias(f"l_{m}") for m in measures])
-    y = right.select(scope, F.col(right_id).alias("r"), *[F.col(m).alias(f"r_{m}") for m in measures])
+    """The only right row of a scope whose counts are within ``tolerance``; a null count matches any.
+
+    Which counts are null is a pattern of one bit for each. Rows of two
+    patterns meet by equality on the counts that both have (on buckets of
+    ``tolerance`` + 1 and their neighbours if it is not 0), so a large scope is
+    no large group; the right rows of a key with equal counts are one row of
+    their least and greatest id first.
+    """
+    width, patterns = tolerance + 1, range(1 << len(measures))
+    pattern = sum(F.when(F.col(m).isNull(), 1 << i).otherwise(0) for i, m in enumerate(measures))
+    bucket = lambda m: F.floor(F.col(m) / width)
+    steps = (-1, 0, 1) if tolerance else (0,)
+
+    def keyed(rows: DataFrame, own: str, other: str, spread: tuple[int, ...]) -> DataFrame:
+        out = rows.withColumn(own, pattern).withColumn(other, F.explode(F.array(*[F.lit(p) for p in patterns])))
+        for i, m in enumerate(measures):
+            free = (F.col(own).bitwiseOR(F.col(other)).bitwiseAND(1 << i)) != 0
+            near = F.array(*[bucket(m) + s for s in spread])
+            out = out.withColumn(f"__k{i}", F.explode(F.when(free, F.array(F.lit(-1).cast("bigint"))).otherwise(near)))
+        return out
+
+    keys = [scope, "__p", "__q", *[f"__k{i}" for i in range(len(measures))]]
+    x = keyed(left.select(scope, F.col(left_id).alias("l"), *measures), "__p", "__q", steps)
+    x = x.select(*keys, "l", *[F.col(m).alias(f"l_{m}") for m in measures])
+    y = keyed(right.select(scope, F.col(right_id).alias("r"), *measures), "__q", "__p", (0,))
+    y = y.groupBy(*keys, *[F.col(m).alias(f"r_{m}") for m in measures]).agg(F.min("r").alias("low"), F.max("r").alias("high"))
     near = F.lit(True)
     for m in measures:
         near = near & (F.col(f"l_{m}").isNull() | F.col(f"r_{m}").isNull() | (F.abs(F.col(f"l_{m}") - F.col(f"r_{m}")) <= tolerance))
-    hit = x.join(y, scope).filter(near)
-    return hit.groupBy(scope, "l").agg(F.count_distinct("r").alias("n"), F.min("r").alias("r")).filter("n = 1").select(scope, "l", "r")
+    hit = x.join(y, keys).filter(near).groupBy(scope, "l").agg(F.min("low").alias("r"), F.max("high").alias("high"))
+    return hit.filter("r = high").select(scope, "l", "r")
 
 
 def unique_match(left: DataFrame, right: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:

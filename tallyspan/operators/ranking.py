@@ -13,15 +13,15 @@ def top_with_ties(rows: DataFrame, value: str, order: list[Column], by: list[str
     is no full rank, plainly the first k. ``position`` numbers the rows.
     """
     by = by or []
+    order = [F.col(value).desc(), *order]
+    if not by:  # without a key, the first rows that can matter are taken before any window
+        rows = rows.orderBy(*order).limit(cap + k)
     part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    byvalue = part.orderBy(F.col(value).desc())
-    few = rows.withColumn("__rank", F.rank().over(byvalue)).filter(F.col("__rank") <= k)
+    few = rows.withColumn("__rank", F.rank().over(part.orderBy(F.col(value).desc()))).filter(F.col("__rank") <= k)
     # rows above rank k cannot matter; ties at one rank may be many, but only the first cap + 1 of them decide
-    few = few.withColumn("position", F.row_number().over(part.orderBy(F.col(value).desc(), *order))).filter(F.col("position") <= cap + k)
-    low = few.filter(F.col("position") <= k).groupBy(*by).agg(F.min(value).alias("__cut"))
-    marked = few.join(F.broadcast(low), by) if by else few.crossJoin(F.broadcast(low))
-    sums = marked.groupBy(*by).agg(F.count_if(F.col(value) >= F.col("__cut")).alias("__n"), F.count_if(F.col(value) > F.col("__cut")).alias("__above"))
-    marked = marked.join(F.broadcast(sums), by) if by else marked.crossJoin(F.broadcast(sums))
+    few = few.withColumn("position", F.row_number().over(part.orderBy(*order))).filter(F.col("position") <= cap + k)
+    marked = few.withColumn("__cut", F.min(F.when(F.col("position") <= k, F.col(value))).over(part))
+    marked = marked.withColumn("__n", F.count_if(F.col(value) >= F.col("__cut")).over(part)).withColumn("__above", F.count_if(F.col(value) > F.col("__cut")).over(part))
     keep = F.when(F.col("__n") <= cap, F.col(value) >= F.col("__cut")).when(F.col("__above") > 0, F.col(value) > F.col("__cut")).otherwise(F.col("position") <= k)
     return marked.filter(keep).drop("__rank", "__cut", "__n", "__above")
 
@@ -38,11 +38,22 @@ def occurrence(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def stratified_sample(rows: DataFrame, key: str, stratum: str, rate: float, least: int, seed: int) -> DataFrame:
-    """max(ceil(rate * n), least) rows of each stratum in the order of a seeded hash: the same rows on every run."""
-    n = rows.groupBy(stratum).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(stratum).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key)
-    drawn = rows.withColumn("__rn", F.row_number().over(w)).join(F.broadcast(n), stratum)
-    return drawn.filter(F.col("__rn") <= F.greatest(F.ceil(F.lit(rate) * F.col("__n")), F.lit(least))).drop("__rn", "__n")
+    """max(ceil(rate * n), least) rows of each stratum in the order of a seeded hash: the same rows on every run.
+
+    Rows are counted by the hash's first three digits; whole buckets are taken
+    or left, and only the bucket that the last drawn row lies in is ranked.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    marked = rows.withColumn("__h", digest).withColumn("__b", F.substring("__h", 1, 3)).withColumn("__s", F.coalesce(F.to_json(F.struct(stratum)), F.lit("")))
+    counts = marked.groupBy("__s", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy("__s").orderBy("__b")
+    counts = counts.withColumn("__first", F.sum("__n").over(upto) - F.col("__n")).withColumn("__all", F.sum("__n").over(Window.partitionBy("__s")))
+    counts = counts.withColumn("__want", F.greatest(F.ceil(F.lit(rate) * F.col("__all")), F.lit(least))).filter(F.col("__first") < F.col("__want"))
+    drawn = marked.join(counts.select("__s", "__b", "__n", "__first", "__want"), ["__s", "__b"])
+    whole = drawn.filter(F.col("__first") + F.col("__n") <= F.col("__want"))
+    w = Window.partitionBy("__s", "__b").orderBy("__h", key)
+    cut = drawn.filter(F.col("__first") + F.col("__n") > F.col("__want")).withColumn("__rn", F.row_number().over(w) + F.col("__first")).filter(F.col("__rn") <= F.col("__want"))
+    return whole.select(*rows.columns).unionByName(cut.select(*rows.columns))
 
 
 def share_shift(rows: DataFrame, period: str, group: str, value: str, now: Column, before: Column, digits: int = 1) -> DataFrame:
