@@ -53,6 +53,16 @@ def read_reports(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     return raw.filter(~bad).select("r.*", "file").drop("_corrupt"), raw.filter(bad).select("file", F.col("value").alias("content"))
 
 
+def read_caches(spark: SparkSession, path: str, schema: str, version: int) -> DataFrame:
+    """``(file, state, <schema>)``: JSON caches, gzipped or not: usable, of an old_version, or corrupt; only usable ones keep their contents."""
+    names = [f.strip().split()[0] for f in schema.split(",")]
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    raw = text.select("file", F.from_json("value", f"version int, {schema}, _corrupt string", options).alias("r"))
+    state = F.when(F.col("r").isNull() | F.col("r._corrupt").isNotNull() | F.col("r.version").isNull(), "corrupt").when(F.col("r.version") != version, "old_version").otherwise("usable")
+    return raw.withColumn("state", state).select("file", "state", *[F.when(F.col("state") == "usable", F.col(f"r.{n}")).alias(n) for n in names])
+
+
 def read_csv_strict(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
     """A CSV with a header and exactly this schema; malformed rows fail the scan."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path, sep=sep)

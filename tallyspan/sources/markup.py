@@ -76,6 +76,13 @@ def table_cells(html: Column | str, row_class: str | None = None) -> Column:
     return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), plain))
 
 
+def links(html: Column | str) -> Column:
+    """The links of a page in order, as (href, text)."""
+    found = F.regexp_extract_all(F.col(html) if isinstance(html, str) else html, F.lit(r'(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?(?=</a>|<a\s|$)'), F.lit(0))
+    plain = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "(?s)<[^>]*>", " "), r"\s+", " "))
+    return F.transform(found, lambda x: F.struct(F.regexp_extract(x, '(?is)href="([^"]*)"', 1).alias("href"), plain(x).alias("text")))
+
+
 def bounded_scan(listed: DataFrame, date: str, target: Column, budget: int) -> DataFrame:
     """One row on a newest-first list: rows of the target day and how the scan ended (passed the day, list end, or out of budget)."""
     w = Window.orderBy(F.desc(date))  # a landed list page, bounded by the budget

@@ -69,6 +69,18 @@ def export_csv(tables: dict[str, DataFrame], path: str) -> DataFrame:
     return spark.read.schema("name string, n long, digest string").json(f"{path}/manifest")
 
 
+def verify_export(spark: SparkSession, path: str, schemas: dict) -> DataFrame:
+    """``(name, n, verified)``: every table of an export read back and held against the manifest; ``schemas`` names the types."""
+    found = None
+    for name, schema in schemas.items():
+        rows = spark.read.schema(schema).option("header", True).option("nullValue", "").csv(f"{path}/{name}")
+        one = digest(rows).select(F.lit(name).alias("name"), F.col("n").alias("__n"), F.col("digest").alias("__digest"))
+        found = one if found is None else found.unionByName(one)
+    manifest = spark.read.schema("name string, n long, digest string").json(f"{path}/manifest")
+    same = F.coalesce((F.col("n") == F.col("__n")) & (F.col("digest") == F.col("__digest")), F.lit(False))
+    return manifest.join(found, "name", "left").select("name", "n", same.alias("verified"))
+
+
 def review_sheet(df: DataFrame, path: str) -> None:
     """A tab-separated sheet in one file, for people to fill in: for samples, not for tables."""
     df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
