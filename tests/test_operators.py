@@ -185,3 +185,27 @@ def test_lead_positions_and_single_subjects(spark):
     df = spark.createDataFrame(rows, "item int, title string, rank int, id int, subject string, minor boolean")
     assert sorted(tuple(r) for r in linking.lead_positions(df, "item", "title", ["rank", "id"]).collect()) == [(1, "paper"), (3, "x"), (4, "z")]
     assert sorted(tuple(r) for r in linking.single_subject(df, "item", "subject", "minor").collect()) == [(1, "a"), (3, "a")]
+
+
+def test_nested_speakers_split_their_unit(spark):
+    from tallyspan.operators import units
+
+    def row(unit, pos, kind, speaker=None, name=None, text=None, q=False):
+        return (unit, pos, kind, speaker, name, text, "a", q)
+
+    rows = [
+        row("u", 0, "t", text="Dear all"), row("u", 1, "c", text="the floor goes to Bo"), row("u", 2, "m", "b", "Bo"), row("u", 3, "t", text="Dear house, I say"),
+        row("u", 4, "m", "c", "Cy"), row("u", 5, "t", text="Dear, not granted"),
+        row("u", 6, "c", text="now Cy"), row("u", 7, "m", "c", "Cy", q=True), row("u", 8, "t", text="Dear, asked"),
+        row("u", 9, "c", text="Cy again"), row("u", 10, "m", "c", "Cy"), row("u", 11, "t", text="no greeting"),
+        row("u", 12, "c", text="Bo goes on"), row("u", 13, "m", "b", "Bo"), row("u", 14, "t", text="Dear, as before"),
+        row("u", 15, "c", text="Al"), row("u", 16, "m", "a", "Al"), row("u", 17, "t", text="Dear, back"),
+        row("v", 0, "m", "b", "Bo"), row("v", 1, "t", text="Dear"),
+    ]
+    df = spark.createDataFrame(rows, "unit string, pos int, kind string, speaker string, name string, text string, owner string, q boolean")
+    got = units.split_nested(df, "unit", ["pos"], F.col("kind") == "m", F.col("kind") == "c", "speaker", "name", "text", "owner", F.col("q"), "^Dear").collect()
+    assert len(got) == len(rows)
+    at = {(r.unit, r.pos): r for r in got}
+    assert [at["u", p].ruling for p in (2, 4, 7, 10, 13, 16)] == ["split", "not_granted", "question", "no_salutation", "same_speaker", "split"] and at["v", 0].ruling == "not_granted"
+    assert [at["u", p].part for p in (0, 1, 2, 15, 16, 17)] == ["u", "u", "u:1", "u:1", "u:2", "u:2"] and at["u", 14].part_owner == "b"
+    assert units.split_nested(df.limit(0), "unit", ["pos"], F.col("kind") == "m", F.col("kind") == "c", "speaker", "name", "text", "owner", F.col("q"), "^Dear").count() == 0
