@@ -10,8 +10,12 @@ within the budget is missed and nothing beyond it is reported.
 Letters of all scripts are lower-cased (those whose lower case is longer stay)
 and each white space counts as a space; offsets are code points of the
 original text. Null and blank items match
-nothing; null texts hold nothing. Repeated documents each give their own result
-rows; items that share an item_id are one item with several wordings.
+nothing; null texts hold nothing. Very long texts are read whole; memory grows
+with one text. Ties: of places of equal distance the first counts. Repeated
+documents each give their own result rows; items that share an item_id are one
+item with several wordings. An empty table of documents or items gives no row.
+Only keys and texts are read (``drop_contaminated`` carries all columns along),
+so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyspan.llm.common import filter_texts, text_batches
+from tallyspan.session import materialize
 
 RATE = 0.05
 #: Characters of items that one pass over the texts holds in its automaton; more items mean more passes.
@@ -112,13 +118,13 @@ class Matcher:
                     yield item_id, got[0], end - size, end
 
 
-def item_blocks(items: DataFrame, key: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size; one block never exceeds a share of ``block_chars`` by design."""
+def item_blocks(items: DataFrame, key: str, text: str, block_chars: int) -> Iterator[tuple[bool, list[tuple]]]:
+    """(whether it is the last, the items of a block): about ``block_chars`` characters each, one block in the driver at a time."""
     n = items.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
     count = 1 + n // block_chars
     for b in range(count):
         part = items if count == 1 else items.filter(F.pmod(F.xxhash64(key), F.lit(2 * count)).isin(2 * b, 2 * b + 1))
-        yield [(r[0], r[1]) for r in part.select(key, text).orderBy(key, text).toLocalIterator()]
+        yield b == count - 1, [(r[0], r[1]) for r in part.select(key, text).orderBy(key, text).toLocalIterator()]
 
 
 def contaminated(
@@ -140,9 +146,11 @@ def contaminated(
     text_batches(spark)
     source = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
     kind = source.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, item_id long, n_places int, distance int, start int, end int"
-    out = None
-    for block in item_blocks(items, item_key, item_text, block_chars):
+    own = items.schema[item_key].dataType
+    schema = f"`{key}` {kind}, item_id {own.simpleString()}, n_places int, distance int, start int, end int"
+    item_kind, out = to_arrow_type(own), None
+    blocks = item_blocks(items, item_key, item_text, block_chars)
+    for last, block in blocks:
         matcher = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], block=matcher) -> Iterator[pa.RecordBatch]:
@@ -161,13 +169,16 @@ def contaminated(
                                 old[1:] = [distance, start, end]
                     rows += [(n, item, *v) for item, v in best.items()]
                 cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-                kinds = [pa.int64(), *[pa.int32()] * 4]
+                kinds = [item_kind, *[pa.int32()] * 4]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, t) for c, t in zip(cols[1:], kinds, strict=True)]],
                     names=[key, "item_id", "n_places", "distance", "start", "end"],
                 )
 
         part = source.mapInArrow(run, schema)
+        if not last or out is not None:  # several blocks: one at a time in memory
+            part = materialize(part, "decontam")
+            matcher.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -176,7 +187,7 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", rate: float = RATE, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """``docs`` without the rows whose text holds an item within its budget."""
-    for block in item_blocks(items, item_key, item_text, block_chars):
+    for _, block in item_blocks(items, item_key, item_text, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(block)
         held: list[Matcher] = []
 

@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 import corpus_pipeline
 from tallyspan.llm import decontam, packing, pii, simhash, toxicity
 from tests.llm.test_pii import brute_spans
@@ -72,6 +70,32 @@ def test_run_equals_brute_force_stage_by_stage(spark, tmp_path):
     assert {(r.doc_id, r.piece, r.start, r.length) for r in out} == expect
 
 
-def test_guard_names_every_stage():
+def test_stages_stand_in_their_order_and_call_their_operators(monkeypatch, spark):
+    """Each stage hands its documents to its operator and gives back what that gives."""
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "benchmark_decontamination", "pii_redaction", "best_fit_packing"]
-    assert pytest and pii and simhash and toxicity
+    docs, called = spark.createDataFrame([(1, "a", "en", "s", 1)], SCHEMA), []
+    for module, name in ((toxicity, "drop_toxic"), (simhash, "keep_first"), (decontam, "drop_contaminated"), (pii, "redact"), (packing, "pack")):
+        monkeypatch.setattr(module, name, lambda d, *_, n=name, **__: called.append((n, d is docs)) or d)
+    monkeypatch.setattr(toxicity, "train", lambda *_: None)
+    monkeypatch.setattr(pii, "train", lambda *_: None)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "nowhere").count() == 1
+    assert called == [(n, True) for n in ("drop_toxic", "keep_first", "drop_contaminated", "redact", "pack")]
+
+
+def test_empty_tables_and_odd_rows_pass_every_stage(spark, tmp_path):
+    """Empty tables give an empty result; a null id, a null text, an empty and a very long one go through."""
+    none = spark.createDataFrame([], SCHEMA)
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    odd = spark.createDataFrame([(1, None, None, None, None), (2, "", None, None, 0), (3, "long word " * 40_000, "en", "s", 400_000), (None, "no id", "en", "s", 5)], SCHEMA)
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == odd.columns, name
+    got = docs.collect()
+    assert {r.doc_id for r in got} == {1, 3, None}  # the null and the empty text are one group
+    assert sum(r.length for r in packing.pack(docs, with_ids=False).collect()) == sum(len(packing.encoder()(r.text or "")) + 1 for r in got)
