@@ -22,10 +22,10 @@ def x4_label_merge_repair(spark, d):
     return plurality.deviators(latest, B.counts(spark, d, latest), "vote", ("G4",))
 
 
-@query("""with v as (select l_partkey as vote, 0 as level, l_orderkey as at_order, l_linenumber as at_line from lineitem where l_linenumber > 2 union all select o_orderkey % 2500, 1, o_orderkey, 0 from orders)
+@query("""with v as (select l_partkey as vote, 0 as level, l_orderkey as at_order, l_linenumber as at_line from lineitem union all select o_orderkey % 2500, 1, o_orderkey, 0 from orders)
 select vote, level, at_order, at_line from v qualify row_number() over (partition by vote order by level, at_order, at_line) = 1""")
 def x5_vote_flattening(spark, d):
-    items = table(spark, d, "lineitem").filter("l_linenumber > 2").select(F.col("l_partkey").alias("vote"), F.lit(0).alias("level"), F.col("l_orderkey").alias("at_order"), F.col("l_linenumber").alias("at_line"))
+    items = table(spark, d, "lineitem").select(F.col("l_partkey").alias("vote"), F.lit(0).alias("level"), F.col("l_orderkey").alias("at_order"), F.col("l_linenumber").alias("at_line"))
     whole = table(spark, d, "orders").select((F.col("o_orderkey") % 2500).alias("vote"), F.lit(1).alias("level"), F.col("o_orderkey").alias("at_order"), F.lit(0).alias("at_line"))
     return ranking.first_rows(items.unionByName(whole), ["vote"], [F.col("level"), F.col("at_order"), F.col("at_line")])
 

@@ -40,10 +40,10 @@ def j3_star_join(spark, d):
     )
 
 
-@query("""select distinct s_suppkey, c_custkey from supplier join customer on s_nationkey = c_nationkey and s_suppkey % 50 = c_custkey % 50""")
+@query("select distinct l_suppkey as s_suppkey, o_custkey as c_custkey from lineitem join orders on l_orderkey = o_orderkey")
 def j4_fan_out_distinct(spark, d):
-    s, c = table(spark, d, "supplier"), table(spark, d, "customer")
-    return s.join(c, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("s_suppkey") % 50 == F.col("c_custkey") % 50)).select("s_suppkey", "c_custkey").distinct()
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_suppkey").alias("s_suppkey"), F.col("o_custkey").alias("c_custkey")).distinct()
 
 
 @query("""with k as (select event_id, props, unnest(json_keys(props)) as name from events) select event_id, name, cast(json_extract_string(props, '$.' || name) as bigint) as amount from k""")
@@ -158,12 +158,13 @@ def s8_unique_match(spark, d):
     return linking.unique_match(c, s, ["nation"], "s_suppkey").select("c_custkey", "s_suppkey")
 
 
-@query("""with n1 as (select c_custkey, min(s_suppkey) as v from customer join supplier on c_nationkey = s_nationkey and c_acctbal < 0 and s_acctbal < 0 group by 1 having count(distinct s_suppkey) = 1),
-n2 as (select o_custkey as c_custkey, min(l_suppkey) as v from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F' and l_linenumber = 7 group by 1 having count(distinct l_suppkey) = 1)
+@query("""with n1 as (select c_custkey, min(s_suppkey) as v from customer join supplier on c_nationkey = s_nationkey and floor(c_acctbal / 500) = floor(s_acctbal / 500) group by 1 having count(distinct s_suppkey) = 1),
+n2 as (select o_custkey as c_custkey, min(l_suppkey) as v from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F' group by 1 having count(distinct l_suppkey) = 1)
 select c.c_custkey, coalesce(n1.v, n2.v) as s_suppkey, case when n1.v is not null then 'nation' when n2.v is not null then 'order' end as source from customer c left join n1 on c.c_custkey = n1.c_custkey left join n2 on c.c_custkey = n2.c_custkey""")
 def s18_lookup_cascade(spark, d):
     c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    n1 = c.filter("c_acctbal < 0").join(s.filter("s_acctbal < 0"), F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey")
-    li = table(spark, d, "lineitem").filter("l_linenumber = 7")
+    same = (F.col("c_nationkey") == F.col("s_nationkey")) & (F.floor(F.col("c_acctbal") / 500) == F.floor(F.col("s_acctbal") / 500))
+    n1 = c.join(s, same).select("c_custkey", "s_suppkey")
+    li = table(spark, d, "lineitem")
     n2 = table(spark, d, "orders").filter("o_orderstatus = 'F'").join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"), F.col("l_suppkey").alias("s_suppkey"))
     return linking.cascade(c.select("c_custkey"), "c_custkey", [("nation", n1), ("order", n2)], "s_suppkey")
