@@ -88,10 +88,10 @@ def links(nodes: DataFrame, bucket_rows: int = 64) -> DataFrame:
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in covering_masks()])).alias("t", "k"),
     )
     sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    member = materialize(keyed.join(sizes, ["t", "k"]), "simhash-buckets")
+    member = materialize(keyed.join(sizes.hint("merge"), ["t", "k"]), "simhash-buckets")
     small = member.filter(F.col("n") <= bucket_rows)
     a, b = small.select("t", "k", F.col("fp").alias("src")), small.select("t", "k", F.col("fp").alias("dst"))
-    near = a.join(b, ["t", "k"]).filter("src < dst and bit_count(src ^ dst) <= 3").select("src", "dst")
+    near = a.join(b.hint("merge"), ["t", "k"]).filter("src < dst and bit_count(src ^ dst) <= 3").select("src", "dst")
     large = member.filter(F.col("n") > bucket_rows).select("fp").distinct()
     ball = _ball()
     reach = F.array(*[F.lit(m) for _, m in ball])
@@ -100,7 +100,7 @@ def links(nodes: DataFrame, bucket_rows: int = 64) -> DataFrame:
     )
     hubs = spread.groupBy("z").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("hub"), F.count(F.lit(1)).alias("n"))
     hubs = hubs.filter("hub is not null and n > 1").select("z", "hub")
-    star = spread.join(hubs, "z").filter("fp <> hub").select(F.least("fp", "hub").alias("src"), F.greatest("fp", "hub").alias("dst"))
+    star = spread.join(hubs.hint("merge"), "z").filter("fp <> hub").select(F.least("fp", "hub").alias("src"), F.greatest("fp", "hub").alias("dst"))
     return near.unionByName(star).distinct()
 
 
