@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.session import materialize
+
 
 def returning(seen: DataFrame, key: str, period: str) -> DataFrame:
     """``(key, n_earlier)``: entities of the last period that were there in an earlier one too."""
@@ -14,6 +16,28 @@ def returning(seen: DataFrame, key: str, period: str) -> DataFrame:
     return g.filter("__now > 0 and n_earlier > 0").drop("__now")
 
 
+def suppress_twins(rows: DataFrame, key: str, order: list[str], twins: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``rows`` in a total order without those that a kept row before them names as its twin.
+
+    A row is settled as soon as no open row before it names it, so all rows of
+    one depth are settled in a round; rounds are as many as the longest chain
+    of twins, not as many as rows.
+    """
+    place = lambda name: rows.select(F.col(key).alias(name), F.struct(*order).alias(f"__{name}"))
+    named = twins.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+    edges = materialize(named.join(place("src"), "src").join(place("dst"), "dst").filter("__src < __dst").select("src", "dst"), "twins")
+    gone = []
+    while not edges.isEmpty():
+        kept = edges.select("src").distinct().join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_anti")
+        dropped = materialize(edges.join(kept, "src").select("dst").distinct(), "twins-dropped")
+        gone.append(dropped)
+        rest = edges.join(kept, "src", "left_anti").join(dropped, "dst", "left_anti")
+        edges = materialize(rest.join(dropped.select(F.col("dst").alias("src")), "src", "left_anti"), "twins")
+    for d in gone:
+        rows = rows.join(d.select(F.col("dst").alias(key)), key, "left_anti")
+    return rows
+
+
 def last_periods(rows: DataFrame, period: str, n: int) -> DataFrame:
     """The n newest periods that exist; they need not follow each other."""
     return rows.select(period).distinct().orderBy(F.desc(period)).limit(n)

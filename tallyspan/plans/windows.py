@@ -72,6 +72,23 @@ def w8_returning(spark, d):
     return histories.returning(w, "user_id", "week").select("user_id", F.col("n_earlier").alias("earlier_weeks"))
 
 
+@query("""with recursive w as (select distinct user_id, strftime(ts, '%G-W%V') as week from events where event_type = 'purchase'), l as (select max(week) as week from w),
+back as (select user_id, count(*) filter (week < (select week from l)) as earlier from w group by 1 having count(*) filter (week = (select week from l)) > 0 and count(*) filter (week < (select week from l)) > 0),
+tw as (select a.user_id as src, list(distinct b.user_id) as dst from events a join events b on b.event_id = a.event_id + 1 and a.user_id <> b.user_id group by 1),
+r as (select user_id, earlier, row_number() over (order by earlier desc, user_id) as i, coalesce(dst, []) as dst from back left join tw on src = user_id),
+g(i, dropped, kept) as (select 0::bigint, []::bigint[], []::bigint[] union all
+ select g.i + 1, case when list_contains(dropped, user_id) then dropped else dropped || dst end, case when list_contains(dropped, user_id) then kept else kept || [user_id] end from g join r on r.i = g.i + 1)
+select user_id, earlier as earlier_weeks from back where user_id in (select unnest(kept) from (select kept from g order by i desc limit 1))""")
+def w8_twin_suppression(spark, d):
+    """Returning users; one who follows a kept user before them in the log counts as that user's twin."""
+    e = table(spark, d, "events")
+    w = e.filter("event_type = 'purchase'").select("user_id", S.iso_week("ts").alias("week")).distinct()
+    back = histories.returning(w, "user_id", "week").withColumn("rank", -F.col("n_earlier"))
+    after = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("dst"))
+    twins = e.select("event_id", F.col("user_id").alias("src")).join(after, "event_id").filter("src <> dst")
+    return histories.suppress_twins(back, "user_id", ["rank", "user_id"], twins).select("user_id", F.col("n_earlier").alias("earlier_weeks"))
+
+
 @query("""with m as (select distinct strftime(o_orderdate, '%Y-%m') as month from orders where o_orderstatus = 'F'), k as (select month from m order by month desc limit 12)
 select month, count(*) as n from (select strftime(o_orderdate, '%Y-%m') as month from orders) x where month in (select month from k) group by 1""")
 def w9_last_periods(spark, d):
