@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyspan.operators.recipes import Recipe, run
 from tallyspan.plans import bindings as B
 from tallyspan.plans.registry import ORACLES, QUERIES, query
-from tallyspan.session import shared_dir
+from tallyspan.session import run_dir
 from tallyspan.streaming import weekly
 from tallyspan.tables import table
 
@@ -85,7 +85,7 @@ def r3_deviations(spark, d):
 def stream_event_weeks(spark, d):
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = f"{run_dir(spark)}/stream-{uuid.uuid4().hex}"
     weekly.run_available(weekly.weekly_counts(events, "ts", ["event_type"], "cents"), f"{at}/out", f"{at}/checkpoint")
     out = weekly.newest_versions(spark, f"{at}/out", ["event_type"])
     return out.select(F.date_format("week_start", "yyyy-MM-dd").alias("week_start"), "event_type", "n", F.col("total").alias("cents"))

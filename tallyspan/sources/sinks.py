@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators.diffs import digest
+from tallyspan.session import materialize
 
 
 def merge_rows(rows: DataFrame, keys: list[str], rules: dict[str, str], at: str) -> DataFrame:
@@ -45,10 +47,10 @@ def write_if_changed(df: DataFrame, path: str) -> bool:
 def _generations(spark: SparkSession, path: str) -> list[int]:
     try:
         return [r["g"] for r in spark.read.parquet(f"{path}/pointer").agg(F.max("generation").alias("g")).collect() if r["g"]]
-    except Exception as e:  # no pointer yet
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
+        return []  # no pointer yet
 
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:
@@ -62,6 +64,7 @@ def export_csv(tables: dict[str, DataFrame], path: str) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession
     manifest = None
     for name, df in tables.items():
+        df = materialize(df, "export")  # its rows and its digest are those of one computation
         df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").option("compression", "gzip").csv(f"{path}/{name}")
         one = digest(df).withColumn("name", F.lit(name))
         manifest = one if manifest is None else manifest.unionByName(one)
