@@ -52,14 +52,15 @@ def effective_roles(rows: DataFrame, long: str, short: str, printed: str, group:
 
 
 def join_lines(lines: Column, keeps: tuple[str, ...], whole_word: int = 6) -> Column:
-    """Wrapped lines as one text; null if a hyphen at a line's end could be a break or the word's own.
-
-    A hyphen before a lower-case word is a break and goes, unless that word is
-    one of ``keeps`` (a truncated compound: "Bundes- und"), a digit stands
-    before it, or the lines print the hyphenated word whole. Where they don't
-    print it joined either, and the part before is in capitals or a word of
-    ``whole_word`` letters that they use, nothing decides. Before a capital or a
-    digit the hyphen is the word's own and the lines join without a space.
+    """Wrapped lines as one text, line breaks inside words undone; null where the text leaves a break open.
+
+    What follows a hyphen at a line's end decides. ``keeps`` lists words after
+    which a hyphen stands for an omitted part, so a space follows it. Capitals
+    and digits are set right behind it. Other words are glued on without it,
+    but behind digits, or where the lines have the compound with its hyphen,
+    they keep it. An open break is one whose glued word the lines don't have
+    and whose first part ends in a capital or is, with ``whole_word`` letters
+    or more, a word that they do have.
     """
     token = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
     lexicon = F.array_distinct(F.flatten(F.transform(lines, lambda x: F.regexp_extract_all(x, F.lit(rf"{token}(?![\p{{L}}\p{{N}}-])"), F.lit(0)))))

@@ -24,16 +24,16 @@ def x1_document_links(spark, d):
     return writers.document_links(refs, "item", "doc", "source", _ORDER, "url", ("xml",)).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("""with u as (select o_orderkey as unit, o_orderstatus as status, o_orderpriority as prio, case when o_custkey % 5 > 0 then o_custkey end as trusted, case when o_custkey % 3 > 0 then o_custkey + 7 end as dip from orders),
+@query("""with u as (select o_orderkey as unit, o_orderstatus as status, o_orderpriority as prio, case when o_custkey % 5 > 0 then o_custkey end as trusted, case when o_custkey % 3 > 0 then o_custkey + 7 end as outer_no from orders),
 f as (select l_orderkey as unit, max(l_returnflag) as prio from lineitem where l_quantity = 50 group by 1)
 select u.unit, coalesce(f.prio, u.prio) as prio, case when coalesce(f.prio, u.prio) like '%-%' then split_part(coalesce(f.prio, u.prio), '-', 2) else 'corrected' end as speaker_group,
-coalesce('aw:' || trusted, 'dip:' || dip, 'name:' || coalesce(f.prio, u.prio)) as speaker_key from u left join f on u.unit = f.unit""")
+coalesce('trusted:' || trusted, 'outer:' || outer_no, 'name:' || coalesce(f.prio, u.prio)) as speaker_key from u left join f on u.unit = f.unit""")
 def x2_resolved_speakers(spark, d):
     k = F.col("o_custkey")
-    u = table(spark, d, "orders").select(F.col("o_orderkey").alias("unit"), F.col("o_orderpriority").alias("prio"), F.when(k % 5 > 0, k).alias("trusted"), F.when(k % 3 > 0, k + 7).alias("dip"))
+    u = table(spark, d, "orders").select(F.col("o_orderkey").alias("unit"), F.col("o_orderpriority").alias("prio"), F.when(k % 5 > 0, k).alias("trusted"), F.when(k % 3 > 0, k + 7).alias("outer_no"))
     fixes = table(spark, d, "lineitem").filter("l_quantity = 50").groupBy(F.col("l_orderkey").alias("unit")).agg(F.max("l_returnflag").alias("prio"))
     group = F.when(F.col("prio").contains("-"), F.split_part("prio", F.lit("-"), F.lit(2))).otherwise("corrected")
-    got = writers.resolve_speakers(u, fixes, "unit", ["prio"], group, [("aw", F.col("trusted")), ("dip", F.col("dip")), ("name", F.col("prio"))])
+    got = writers.resolve_speakers(u, fixes, "unit", ["prio"], group, [("trusted", F.col("trusted")), ("outer", F.col("outer_no")), ("name", F.col("prio"))])
     return got.select("unit", "prio", "speaker_group", "speaker_key")
 
 
