@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, embed, langid, lm, oracles, packing, pii, simhash, toxicity, wrapper
+from tallyspan.llm import decontam, embed, langid, lm, oracles, packing, pieces, pii, simhash, toxicity, wrapper
 from tallyspan.llm import license as license_scan
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
@@ -82,6 +82,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id)} | oracles.QUERIES
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id, op11_sentencepiece)} | oracles.QUERIES
 
 ORACLES = oracles.ORACLES
