@@ -24,15 +24,16 @@ def fold(key: str = "doc_id") -> Column:
 
 
 def map_texts(
-    df: DataFrame, kernel: Callable[[list[str | None]], dict[str, list]], schema: str, keep: list[str], text: str = "text"
+    df: DataFrame, kernel: Callable[[list[str | None]], dict[str, list]], schema: str, keep: list[str], text: str = "text", kind: str = "string"
 ) -> DataFrame:
     """Apply ``kernel`` to each batch of texts; its columns stand beside ``keep``.
 
     ``kernel`` gets a list of texts (None for null) and returns one list per
-    new column, of the same length. It runs once per Arrow batch.
+    new column, of the same length. It runs once per Arrow batch. ``kind`` is
+    the type that ``text`` is cast to first.
     """
     text_batches(df.sparkSession)
-    source = df.select(*keep, F.col(text).cast("string").alias("__text"))
+    source = df.select(*keep, F.col(text).cast(kind).alias("__text"))
     types = [f.dataType.simpleString() for f in StructType.fromDDL(schema).fields]
     out = source.select(*keep).schema.simpleString()[len("struct<") : -1]
 

@@ -367,4 +367,4 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "input_ids", mode
         own = load(model_path(model))
         return {"text": [own.decode(np.array(x or [], np.int64)) for x in lists]}
 
-    return map_texts(encoded, kernel, "text string", [key], ids)
+    return map_texts(encoded, kernel, "text string", [key], ids, "array<int>")
