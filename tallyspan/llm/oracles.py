@@ -141,7 +141,7 @@ MERKLE_SQL = f"""
 with recursive {_CRC_SQL},
 f as (select doc_id, lang, {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} as leaf, {_leaf_sql("doc_id", "source", "lang", "n_chars + 1", "text")} as forged from documents),
 d as (
-    select f.*, coalesce(crc % 7 = 0, false) as tampered, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
+    select f.*, coalesce(crc % 7 = 0, false) as tampered, row_number() over (partition by lang order by f.doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
     from f left join crcs on crcs.doc_id = f.doc_id),
 tree(lang, level, pos, n, h) as (
     select lang, 0, pos, n, leaf from d

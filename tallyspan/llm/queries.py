@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import decontam, embed, langid, lm, merkle, oracles, packing, pieces, pii, simhash, toxicity, wrapper
+from tallyspan.llm import align, decontam, embed, langid, lm, merkle, oracles, packing, pieces, pii, simhash, toxicity, wrapper
 from tallyspan.llm import license as license_scan
 from tallyspan.llm.common import fold
 from tallyspan.tables import table
@@ -86,6 +86,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
+
+
 def merkle_rows(docs: DataFrame, levels: int = merkle.LEVELS) -> DataFrame:
     """Proof digests of every document, and what the proofs say of leaves of which every seventh is tampered with."""
     of = lambda n_chars: merkle.leaf_of(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
@@ -101,6 +105,6 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_rows(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id, op11_sentencepiece, op13_merkle_manifest)} | oracles.QUERIES
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_best_fit_packing, op3_pii, op4_toxicity, op5_simhash_near_dedup, op6_lm_scoring, op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scan, op10_language_id, op11_sentencepiece, op12_tokenizer_alignment, op13_merkle_manifest)} | oracles.QUERIES
 
 ORACLES = oracles.ORACLES
