@@ -1,4 +1,4 @@
-"""From parsed units to rows of the store: documents with their place, speakers with their key, roles, joined lines."""
+"""From parsed units to rows of the store: documents with their place, speakers with their key, roles."""
 
 from __future__ import annotations
 
@@ -49,43 +49,3 @@ def effective_roles(rows: DataFrame, long: str, short: str, printed: str, group:
     out = rows.withColumn("role_conflict", conflict).withColumn("role", F.when(~conflict, F.coalesce(structured, seen)))
     placed = F.when(F.coalesce(structured, seen).isNotNull(), "official").when(F.trim(F.coalesce(group, F.lit(""))) != "", "member")
     return out.withColumn("speaker_class", placed)
-
-
-def join_lines(lines: Column, keeps: tuple[str, ...], whole_word: int = 6) -> Column:
-    """Wrapped lines as one text, line breaks inside words undone; null where the text leaves a break open.
-
-    What follows a hyphen at a line's end decides. ``keeps`` lists words after
-    which a hyphen stands for an omitted part, so a space follows it. Capitals
-    and digits are set right behind it. Other words are glued on without it,
-    but behind digits, or where the lines have the compound with its hyphen,
-    they keep it. An open break is one whose glued word the lines don't have
-    and whose first part ends in a capital or is, with ``whole_word`` letters
-    or more, a word that they do have.
-    """
-    token = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
-    lexicon = F.array_distinct(F.flatten(F.transform(lines, lambda x: F.regexp_extract_all(x, F.lit(rf"{token}(?![\p{{L}}\p{{N}}-])"), F.lit(0)))))
-    start = F.struct(F.lit(None).cast("string").alias("t"), F.lit(True).alias("sure"))
-
-    def step(acc: Column, line: Column) -> Column:
-        prev = acc["t"]
-        word = F.regexp_extract(line, r"^\S+", 0)
-        left, right = F.regexp_extract(prev, r"([\p{L}\p{N}]+)-$", 1), F.regexp_extract(word, rf"^{token}", 0)
-        has = lambda w: F.array_contains(lexicon, w)
-        broken, lower = prev.rlike(r"[\p{L}\p{N}]-$"), word.rlike(r"^\p{Ll}")
-        own = F.concat(prev, line)
-        spaced = F.concat(prev, F.lit(" "), line)
-        doubt = ~has(F.concat(left, right)) & (left.rlike(r"\p{Lu}$") | ((F.length(left) >= whole_word) & has(left)))
-        text = (
-            F.when(prev.isNull(), line)
-            .when(prev.endswith(" und -") & lower, own)
-            .when(broken & lower & word.isin(*keeps), spaced)
-            .when(broken & lower & (prev.rlike(r"\p{N}-$") | has(F.concat(left, F.lit("-"), right))), own)
-            .when(broken & lower, F.concat(F.substring(prev, F.lit(1), F.length(prev) - 1), line))
-            .when(broken & word.rlike(r"^[\p{Lu}\p{N}]"), own)
-            .otherwise(spaced)
-        )
-        hyphened = has(F.concat(left, F.lit("-"), right)) | prev.rlike(r"\p{N}-$") | word.isin(*keeps)
-        sure = acc["sure"] & ~F.coalesce(broken & lower & ~hyphened & doubt, F.lit(False))
-        return F.struct(text.alias("t"), sure.alias("sure"))
-
-    return F.aggregate(lines, start, step, lambda acc: F.when(acc["sure"], acc["t"]))

@@ -1,4 +1,4 @@
-"""Rows of the store: documents with their rank, resolved speakers, roles, joined lines."""
+"""Rows of the store: documents with their rank, resolved speakers, roles."""
 
 from __future__ import annotations
 
@@ -52,11 +52,3 @@ def x11_effective_roles(spark, d):
         F.when(k % 6 == 0, "BUILDING").when(k % 5 == 0, seg).alias("p"), F.when(F.col("c_nationkey") > 12, F.concat(F.lit("G"), F.col("c_nationkey").cast("string"))).alias("g"),
     )
     return writers.effective_roles(rows, "a", "b", "p", "g", _SIDES).select("k", "role_conflict", "role", "speaker_class")
-
-
-@query("""select p_partkey, lower(p_name) || ' ' || lower(replace(p_type, ' ', '')) || 'und ' || lower(p_name) as text from part""")
-def f11_joined_lines(spark, d):
-    """Part names and types broken over lines at a hyphen, joined again: the text as it was."""
-    name, kind = F.lower("p_name"), F.concat(F.lower(F.replace("p_type", F.lit(" "))), F.lit("und"))
-    lines = F.array(F.concat(name, F.lit(" "), F.substring(kind, 1, 4), F.lit("-")), F.substring(kind, 5, 200), name)
-    return table(spark, d, "part").select("p_partkey", writers.join_lines(lines, ("und", "oder", "bzw")).alias("text"))

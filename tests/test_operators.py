@@ -209,22 +209,3 @@ def test_nested_speakers_split_their_unit(spark):
     assert [at["u", p].ruling for p in (2, 4, 7, 10, 13, 16)] == ["split", "not_granted", "question", "no_salutation", "same_speaker", "split"] and at["v", 0].ruling == "not_granted"
     assert [at["u", p].part for p in (0, 1, 2, 15, 16, 17)] == ["u", "u", "u:1", "u:1", "u:2", "u:2"] and at["u", 14].part_owner == "b"
     assert units.split_nested(df.limit(0), "unit", ["pos"], F.col("kind") == "m", F.col("kind") == "c", "speaker", "name", "text", "owner", F.col("q"), "^Dear").count() == 0
-
-
-def test_lines_join_by_the_texts_own_spelling(spark):
-    from tallyspan.operators import writers
-
-    cases = {
-        ("ein Gar-", "tenzaun fehlt"): "ein Gartenzaun fehlt",
-        ("Apfel-", "und Birnenkuchen"): "Apfel- und Birnenkuchen",
-        ("die 80-", "er Jahre"): "die 80-er Jahre",
-        ("ein U-", "Boot taucht"): "ein U-Boot taucht",
-        ("ein schwarz-", "weißer Hund", "schwarz-weißer"): "ein schwarz-weißer Hund schwarz-weißer",
-        ("die PDF-", "artige Datei"): None,
-        ("ein schwarz-", "roter Hund", "sehr schwarz"): None,
-        ("Obstkauf und -", "verkauf"): "Obstkauf und -verkauf",
-        ("eins", "zwei"): "eins zwei",
-    }
-    df = spark.createDataFrame([(list(k), v) for k, v in cases.items()], "l array<string>, want string")
-    for r in df.select("l", "want", writers.join_lines(F.col("l"), ("und", "oder")).alias("got")).collect():
-        assert r.got == r.want, r.l
