@@ -59,3 +59,29 @@ def inherited_format(items: DataFrame, scope: str, label: str, order: list[str],
     w = Window.partitionBy(scope, label).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     first = F.first(F.when(F.col(heading).isNotNull(), F.col(fmt)), ignorenulls=True).over(w)
     return items.withColumn("inherited", F.when(F.col(heading).isNull(), F.coalesce(first, F.col(fmt))).otherwise(F.col(fmt)))
+
+
+def attached(rows: DataFrame, scope: str, order: list[str], back: Column, ahead: Column) -> DataFrame:
+    """``rows`` with ``root`` (a struct of ``order``), ``side`` and ``state``: rows that become a prefix or suffix of a neighbour.
+
+    A row may claim the row before it (``back``) or behind it (``ahead``);
+    rows that claim neither stand for themselves. Chains end at the first row
+    in their direction that goes on no further, so a chain of any length is
+    settled by one look along the order. A row that claims both neighbours, has
+    none on its side, or whose chain meets one that points back at it is
+    ``refused`` and stands for itself.
+    """
+    w = Window.partitionBy(scope).orderBy(*order)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    both = yes(back) & yes(ahead)
+    way = F.when(both, "both").when(yes(back), "back").when(yes(ahead), "ahead").otherwise("own")
+    out = rows.withColumn("__way", way)
+    at = F.struct(*[F.col(c).alias(c) for c in order], F.col("__way").alias("__way"))
+    before = F.last(F.when(F.col("__way") != "back", at), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    behind = F.first(F.when(F.col("__way") != "ahead", at), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    out = out.withColumn("__to", F.when(F.col("__way") == "back", before).when(F.col("__way") == "ahead", behind))
+    ok = F.col("__to.__way") == "own"
+    state = F.when(F.col("__way") == "own", "own").when(yes(ok), "attached").otherwise("refused")
+    root = F.struct(*[F.when(yes(ok), F.col(f"__to.{c}")).otherwise(F.col(c)).alias(c) for c in order])
+    side = F.when(yes(ok), F.when(F.col("__way") == "back", "suffix").otherwise("prefix"))
+    return out.withColumns({"root": root, "side": side, "state": state}).drop("__way", "__to")
