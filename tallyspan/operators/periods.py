@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.scalars import id_sort_key
+from tallyspan.session import materialize
 
 
 @dataclass(frozen=True)
@@ -81,6 +83,45 @@ def observe(candidates: DataFrame, spec: MetricSpec, periods: DataFrame, period:
     return periods.select(period).join(flat, period, "left")
 
 
+def observe_all(candidates: dict[str, DataFrame], specs: list[MetricSpec], periods: DataFrame, period: str = "period") -> DataFrame:
+    """What ``observe`` says of every metric and period, with the metric's settings beside it.
+
+    The metrics' candidates are put under each other, so all extremes meet in
+    one shuffle, after the sums of all groups, and all counts in another.
+    """
+    by: dict[str, list[DataFrame]] = {"extreme": [], "grouped_extreme": [], "count": []}
+    for s in specs:
+        have = candidates[s.metric_id]
+        of = lambda name, kind: (F.col(name) if name in have.columns else F.lit(None)).cast(kind).alias(name)  # noqa: B023, E731
+        ident = F.col("group_id") if s.aggregation == "grouped_extreme" else F.col("id")
+        by[s.aggregation].append(
+            have.filter(F.col("value").isNotNull()).select(
+                F.lit(s.metric_id).alias("metric_id"), F.lit(-1 if s.direction == "max" else 1).alias("__sign"), period, ident.cast("string").alias("id"),
+                of("value", "double"), of("denominator", "long"), of("topic", "string"), of("tie_value", "double"),
+            )
+        )
+    stacked = {k: reduce(DataFrame.unionByName, v) for k, v in by.items() if v}
+    found, keys = [], ["metric_id", period]
+    if "grouped_extreme" in stacked:
+        sums = stacked["grouped_extreme"].groupBy(*keys, "__sign", "id").agg(F.sum("value").alias("value"), F.sum("denominator").alias("denominator"), F.min("topic").alias("topic"), F.sum("tie_value").alias("tie_value"))
+        stacked["extreme"] = stacked["extreme"].unionByName(sums) if "extreme" in stacked else sums
+    if "extreme" in stacked:
+        place = F.struct((F.col("__sign") * F.col("value")).alias("v"), F.coalesce(-F.col("tie_value"), F.lit(0.0)).alias("t"), id_sort_key("id").alias("k"))
+        best = stacked["extreme"].groupBy(*keys).agg(F.min_by(F.struct("value", "denominator", "id", "topic"), place).alias("b"), F.count(F.lit(1)).alias("n"))
+        found.append(best.select(*keys, "b.value", "b.denominator", F.col("b.id").alias("cited"), "b.topic", "n"))
+    if "count" in stacked:
+        number, first = F.count(F.lit(1)), id_sort_key("id")
+        found.append(stacked["count"].groupBy(*keys).agg(number.cast("double").alias("value"), F.lit(None).cast("long").alias("denominator"), F.min_by("id", first).alias("cited"), F.min_by("topic", first).alias("topic"), number.alias("n")))
+    settings = periods.sparkSession.createDataFrame(
+        [(s.metric_id, s.direction, s.min_history, s.tie_rank, None if s.min_value is None else float(s.min_value), s.requires_topic, s.aggregation == "count") for s in specs],
+        "metric_id string, direction string, min_history int, tie_rank int, min_value double, requires_topic boolean, __counts boolean",
+    )
+    every = periods.select(period).crossJoin(F.broadcast(settings))  # a row for each metric of the registry
+    out = every.join(reduce(DataFrame.unionByName, found), keys, "left")
+    zero = lambda c, kind: F.when(F.col("__counts"), F.coalesce(c, F.lit(0).cast(kind))).otherwise(F.col(c)).alias(c)
+    return out.select("metric_id", "direction", "min_history", "tie_rank", "min_value", "requires_topic", period, zero("value", "double"), "denominator", "cited", "topic", zero("n", "long"))
+
+
 def strict_prior(rows: DataFrame, by: list[str], order: str, value: str, term: str, usable: Column, direction: Column, min_history: Column) -> DataFrame:
     """Baseline columns from strictly earlier usable rows: the same term if it has enough of them, else all.
 
@@ -143,19 +184,10 @@ def rank_facts(facts: DataFrame, period: str = "period") -> DataFrame:
 def compute_facts(candidates: dict[str, DataFrame], specs: list[MetricSpec], periods: DataFrame, floor: float = 0.5, period: str = "period", order: str = "period_no", term: str = "term") -> DataFrame:
     """All metrics over all periods. ``periods (period, period_no, term, complete)``; the loop is over the registry only."""
     validate_registry(specs)
-    parts = []
-    for s in specs:
-        o = observe(candidates[s.metric_id], s, periods, period)
-        o = o.select(
-            F.lit(s.metric_id).alias("metric_id"), F.lit(s.direction).alias("direction"), F.lit(s.min_history).alias("min_history"), F.lit(s.tie_rank).alias("tie_rank"),
-            F.lit(s.min_value).cast("double").alias("min_value"), F.lit(s.requires_topic).alias("requires_topic"), period, "value", "denominator", F.col("cited").cast("string").alias("cited"), "topic", "n",
-        )
-        parts.append(o)
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    rows = observe_all(candidates, specs, periods, period)
     rows = rows.join(periods.select(period, order, term, "complete"), period)
-    rows = rows.withColumn("value", F.when(F.col("complete"), F.col("value")))
+    # a row for each metric and period: written once, as the baseline below reads it three times
+    rows = materialize(rows.withColumn("value", F.when(F.col("complete"), F.col("value"))), "observations")
     usable = F.col("complete") & F.col("value").isNotNull()
     rows = strict_prior(rows, ["metric_id"], order, "value", term, usable, F.col("direction"), F.col("min_history"))
     return rank_facts(rows.withColumn("withheld", withheld_reason(floor, "topic")), period)

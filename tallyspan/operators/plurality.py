@@ -56,7 +56,16 @@ def deviators(members: DataFrame, counts: DataFrame, vote: str, no_group: tuple[
 
     Nobody is named unless the members' own tally equals the group's counts.
     """
-    tally = members.groupBy(vote, "grp").agg(*[F.count_if(F.col("stance") == m).alias(f"m_{m}") for m in measures], F.count(F.lit(1)).alias("m_all"))
+    return tallied_deviators(tally_of(members, vote, measures), counts, vote, no_group, measures)
+
+
+def tally_of(members: DataFrame, vote: str, measures: tuple[str, ...] = MEASURES, *more: Column) -> DataFrame:
+    """``(vote, grp, m_<measure>, m_all)``: how the members of each group voted; ``more`` are further aggregates."""
+    return members.groupBy(vote, "grp").agg(*[F.count_if(F.col("stance") == m).alias(f"m_{m}") for m in measures], F.count(F.lit(1)).alias("m_all"), *more)
+
+
+def tallied_deviators(tally: DataFrame, counts: DataFrame, vote: str, no_group: tuple[str, ...] = ("independent", "unknown"), measures: tuple[str, ...] = MEASURES) -> DataFrame:
+    """``deviators`` from the members' tally."""
     listed = counts.filter(~F.col("grp").isin(list(no_group))).withColumn("listed", F.lit(True))
     have = counts.select(vote).distinct().withColumn("has_rows", F.lit(True))
     joined = listed.join(tally.filter(~F.col("grp").isin(list(no_group))), [vote, "grp"], "full_outer").join(have, vote, "left_semi")

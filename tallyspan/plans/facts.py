@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspan.functions import scalars as S
-from tallyspan.operators import linking, periods, plurality, quality, ranking
+from tallyspan.operators import periods, plurality, quality
 from tallyspan.plans import bindings as B
 from tallyspan.plans.aggregates import COVERS, STATES
 from tallyspan.plans.registry import query
+from tallyspan.session import materialize
 from tallyspan.tables import table
 
 WEEK_SPEC = periods.MetricSpec("closest_margin", direction="min", min_history=2, tie_rank=1)
@@ -78,38 +79,89 @@ REASON = """case when value is null then 'no_observation' when base_n < least or
  when needs and topic is null then 'no_topic' when percentile < {floor} then 'below_floor' end"""
 
 
+def order_grain(spark, d):
+    """One narrow row for each order: its period, lines, longest shipping, lead title and only brand, from one pass over the lines."""
+    o = table(spark, d, "orders")
+    part = table(spark, d, "part").select("p_partkey", "p_brand", F.when((F.col("p_size") >= 10) & (F.trim("p_name") != ""), F.trim("p_name")).alias("title"), F.col("p_type").startswith("PROMO").alias("minor"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate").join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    place = F.struct(F.when(F.col("minor"), 0).otherwise(1).alias("order_no"), F.col("p_partkey").alias("p_partkey"))
+    own = F.when(~F.col("minor"), F.col("p_brand"))
+    per = lines.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("shipped"), F.min_by("title", F.when(F.col("title").isNotNull(), place)).alias("topic"),
+        F.min(own).alias("__own_a"), F.max(own).alias("__own_z"), F.min("p_brand").alias("__all_a"), F.max("p_brand").alias("__all_z"),
+    )
+    only = F.when(F.col("__own_a").isNotNull(), F.when(F.col("__own_a") == F.col("__own_z"), F.col("__own_a"))).when(F.col("__all_a") == F.col("__all_z"), F.col("__all_a"))
+    per = per.select("l_orderkey", "n_lines", "shipped", "topic", only.alias("brand"))
+    joined = o.join(per, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return materialize(
+        joined.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("period"), "n_lines", F.datediff("shipped", "o_orderdate").alias("days"), "topic", "brand"),
+        "order-grain",
+    )
+
+
 def month_facts(spark, d, floor: float = 0.5):
-    o = table(spark, d, "orders").withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+    o = order_grain(spark, d)
     months = o.groupBy("period").agg((F.count_distinct("o_orderdate") >= 28).alias("complete"))
-    months = months.withColumn("period_no", F.col("period")).withColumn("term", F.substring("period", 1, 4).cast("bigint"))
+    months = materialize(months.withColumn("period_no", F.col("period")).withColumn("term", F.substring("period", 1, 4).cast("bigint")), "months")
     days = o.groupBy("period", F.date_format("o_orderdate", "yyyy-MM-dd").alias("id")).agg(F.count_if(F.col("o_orderstatus") == "F").alias("f"), F.count_if(F.col("o_orderstatus") == "O").alias("p"))
-    lines = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    first = ranking.first_rows(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")])
+    first = o.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey", "period")).alias("x")).select("x.period", F.col("x.o_orderkey").alias("o_orderkey"))
     key = F.col("o_orderkey").cast("string").alias("id")
-    parts = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    minor = F.col("p_type").startswith("PROMO")
-    title = F.when(F.col("p_size") >= 10, F.trim("p_name"))
-    leads = linking.lead_positions(parts.select("l_orderkey", title.alias("title"), F.when(minor, 0).otherwise(1).alias("order_no"), "p_partkey"), "l_orderkey", "title", ["order_no", "p_partkey"])
-    single = linking.single_subject(parts.select("l_orderkey", F.col("p_brand").alias("brand"), minor.alias("minor")), "l_orderkey", "brand", "minor")
-    sizes = lines.groupBy("period", "o_orderkey").agg(F.count(F.lit(1)).alias("value"))
-    latest = B.latest(spark, d)
-    counts = B.counts(spark, d, latest)
-    groups = plurality.deviators(latest, counts, "vote", ("G4",))
-    voted = latest.groupBy("vote").agg(F.date_format(F.max("l_shipdate"), "yyyy-MM").alias("period"))
-    deviators = plurality.deviator_count(groups, plurality.covers_total(counts, B.totals(spark, d, latest), "vote"), "vote")
+    tally = materialize(plurality.tally_of(B.latest(spark, d), "vote", plurality.MEASURES, F.min("member").alias("pos"), F.max("l_shipdate").alias("shipped")), "tally")
+    vote = F.col("vote")
+    own = {m: F.col(f"m_{m}") for m in plurality.MEASURES}
+    counts = tally.filter(~((vote % 11 == 0) & (F.col("grp") == "G2"))).select("vote", "grp", *[(c + F.when(vote % 7 == 0, 1).otherwise(0) if m == "yes" else c).alias(m) for m, c in own.items()], "pos")
+    totals = tally.groupBy("vote").agg(*[F.sum(c).alias(m) for m, c in own.items()], F.date_format(F.max("shipped"), "yyyy-MM").alias("period"))
+    voted = totals.select("vote", "period")
+    cover = plurality.covers_total(counts, totals.withColumn("yes", F.when(vote % 13 != 0, F.col("yes"))).drop("period"), "vote")
+    deviators = plurality.deviator_count(plurality.tallied_deviators(tally.drop("pos", "shipped"), counts, "vote", ("G4",)), cover, "vote")
     candidates = {
         "largest_order": o.select("period", key, F.round(F.col("o_totalprice") * 100).alias("value")),
         "closest_margin": days.select("period", "id", S.margin("f", "p").alias("value")),
-        "busiest_customer": o.select("period", F.col("o_custkey").cast("string").alias("group_id"), F.lit(1).alias("value"), key),
+        "busiest_customer": o.select("period", F.col("o_custkey").cast("string").alias("group_id"), F.lit(1).alias("value"), key, F.round(F.col("o_totalprice") * 100).alias("tie_value")),
         "first_orders": first.select("period", key, F.lit(1).alias("value")),
-        "longest_shipping": lines.select("period", key, F.datediff("l_shipdate", "o_orderdate").alias("value")),
-        "most_parts": sizes.join(leads, sizes["o_orderkey"] == leads["l_orderkey"], "left").select("period", key, "value", F.col("title").alias("topic")),
+        "longest_shipping": o.select("period", key, F.col("days").alias("value")),
+        "most_parts": o.select("period", key, F.col("n_lines").alias("value"), "topic"),
         "most_deviators": deviators.join(voted, "vote").select("period", F.col("vote").cast("string").alias("id"), F.col("n_deviators").alias("value")),
-        "most_discussed": sizes.join(single, sizes["o_orderkey"] == single["l_orderkey"]).select("period", F.col("brand").alias("group_id"), "value", key),
+        "most_discussed": o.filter("brand is not null").select("period", F.col("brand").alias("group_id"), F.col("n_lines").alias("value"), key),
     }
     return periods.compute_facts(candidates, SPECS, months, floor)
 
 
+@query("""with o as (select strftime(o_orderdate, '%Y-%m') as period, o_custkey, count(*) as n, sum(round(o_totalprice * 100)) as cents from orders group by 1, 2)
+select period, max(n)::double as value, cast(min_by(o_custkey, (-n, -cents, o_custkey)) as varchar) as cited from o group by 1""")
+def m7_busiest_by_value(spark, d):
+    """Who ordered most often in a month; of equals the one that ordered for more, then the lowest key."""
+    rows = order_rows(spark, d)
+    return periods.observe(rows, SPECS[2], rows.select("period").distinct()).select("period", "value", "cited")
+
+
+def order_rows(spark, d):
+    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("period"), F.col("o_custkey").cast("string").alias("group_id"), F.lit(1).alias("value"), F.round(F.col("o_totalprice") * 100).alias("tie_value"))
+    return o.withColumn("id", F.col("group_id"))
+
+
+SITTING_SPEC = periods.MetricSpec("longest_sitting", min_history=2, tie_rank=1)
+
+
+@query("""with d as (select strftime(ts, '%Y-%m-%d') as id, strftime(ts, '%G-W%V') as period, min(ts) as a, max(event_id) as k, count(*) as n from events group by 1, 2),
+c as (select period, id, case when k % 7 > 0 then (k * 37 % 1440 - (date_part('hour', a) * 60 + date_part('minute', a)) + 1440) % 1440 end as m from d),
+o as (select period, case when count(*) = 7 then max(m) end as value, min_by(id, (-m, id)) filter (m is not null) as cited from c group by 1),
+b as (select a.period, count(b.value) as n, count(*) filter (a.value > b.value) as k from o a left join o b on b.period < a.period group by 1),
+f as (select o.period, value, cited, n, case when value is not null and n > 0 then k / n::double end as percentile from o join b on o.period = b.period),
+g as (select *, case when value is null then 'no_observation' when n < 2 or percentile is null then 'not_comparable' when percentile < 0.5 then 'below_floor' end as withheld from f)
+select period, cast(value as double) as value, cited, n as base_n, round(percentile, 9) as percentile, withheld from g""")
+def m5_longest_sitting(spark, d):
+    """The longest day of a week, from clock times that may wrap past midnight; days without an end are no observation."""
+    e = table(spark, d, "events").withColumn("period", S.iso_week("ts"))
+    days = e.groupBy("period", F.date_format("ts", "yyyy-MM-dd").alias("id")).agg(F.min("ts").alias("a"), F.max("event_id").alias("k"))
+    end = F.pmod(F.col("k") * 37, F.lit(1440))
+    clock = F.when(F.col("k") % 7 > 0, F.concat(F.floor(end / 60).cast("string"), F.lit(":"), F.lpad((end % 60).cast("string"), 2, "0")))
+    candidates = days.select("period", "id", S.clock_minutes(F.date_format("a", "H:mm"), clock).alias("value"))
+    weeks = days.groupBy("period").agg((F.count(F.lit(1)) == 7).alias("complete")).withColumn("period_no", F.col("period")).withColumn("term", F.substring("period", 1, 4))
+    out = periods.compute_facts({"longest_sitting": candidates}, [SITTING_SPEC], weeks)
+    return out.select("period", "value", "cited", F.col("base_n").cast("bigint").alias("base_n"), F.round("percentile", 9).alias("percentile"), "withheld")
+
+
 @query(f"""with {MONTH_FACTS}, h as (select *, {REASON.format(floor=0.5)} as withheld from g)
 select metric_id, period, round(value, 9) as value, case when own then 'term' else 'all' end as base_kind, base_n, round(percentile, 9) as percentile, withheld,
 case when withheld is null then row_number() over (partition by period, withheld is null order by percentile desc, tie_rank) end as rank from h""")
