@@ -25,12 +25,13 @@ def split_nested(rows: DataFrame, unit: str, order: list[str], marker: Column, c
     flagged = rows.withColumn("__m", F.coalesce(marker, F.lit(False))).withColumn("__c", F.coalesce(chair, F.lit(False)) & ~F.col("__m"))
     # stretches between markers: a marker closes its own
     flagged = flagged.withColumn("__s", F.coalesce(F.sum(F.col("__m").cast("int")).over(upto), F.lit(0)))
-    named = F.max(F.when(F.col("__c"), F.col(text)).isNotNull()).over(Window.partitionBy(unit, "__s"))
-    said = F.array_join(F.collect_list(F.when(F.col("__c"), F.col(text))).over(Window.partitionBy(unit, "__s").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "\n")
-    granted = F.coalesce(named & F.contains(said, F.col(name)), F.lit(False))
+    # what the chair said in a stretch, once for each stretch; only markers need it
+    said = flagged.filter("__c").groupBy(F.col(unit).alias("__u"), F.col("__s").alias("__t")).agg(F.collect_list(text).alias("__said"))
+    flagged = flagged.join(said, F.col("__m") & F.col(unit).eqNullSafe(F.col("__u")) & (F.col("__s") == F.col("__t")), "left")
+    granted = F.coalesce(F.exists("__said", lambda x: F.contains(x, F.col(name))), F.lit(False))
     spoken = ~F.col("__m") & ~F.col("__c")
     following = F.first(F.when(spoken, F.col(text)), ignorenulls=True).over(after)
-    flagged = flagged.withColumn("__granted", granted).withColumn("__greets", F.coalesce(following.rlike(salutation), F.lit(False))).withColumn("__q", F.coalesce(question, F.lit(False)))
+    flagged = flagged.withColumn("__granted", granted).drop("__said", "__u", "__t").withColumn("__greets", F.coalesce(following.rlike(salutation), F.lit(False))).withColumn("__q", F.coalesce(question, F.lit(False)))
     fit = F.col("__m") & F.col("__granted") & ~F.col("__q") & F.col("__greets") & F.col(speaker).isNotNull()
     flagged = flagged.withColumn("__fit", fit)
     before = F.coalesce(F.last(F.when(F.col("__fit"), F.col(speaker)), ignorenulls=True).over(upto), F.col(owner))
