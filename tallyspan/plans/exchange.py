@@ -65,28 +65,34 @@ def s13_tsv_batch_scan(spark, d):
 @query("""select n_nationkey, n_name, (select count(*) from supplier where s_nationkey = n_nationkey) as n_suppliers, (select min(s_suppkey) from supplier where s_nationkey = n_nationkey) as first_supplier, n_nationkey % 7 = 3 as corrupt
 from nation where n_nationkey % 7 <> 3 union all select n_nationkey, null, null, null, true from nation where n_nationkey % 7 = 3""")
 def s15_report_scan(spark, d):
-    """Nested reports, one file each; those that break off are kept apart."""
-    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct(F.col("s_suppkey").alias("id")))).alias("items"))
+    """Nested reports of at most a thousand keys, one file each; those that break off are kept apart."""
+    s = table(spark, d, "supplier").groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000).alias("part")).agg(F.array_sort(F.collect_list(F.struct(F.col("s_suppkey").alias("id")))).alias("items"))
     n = table(spark, d, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left")
     report = F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), "items"))
     torn = F.when(F.col("n_nationkey") % 7 == 3, F.concat(F.lit('{"id": '), F.col("n_nationkey").cast("string"))).otherwise(report)
     at = _place(spark, "reports")
-    n.select(F.col("n_nationkey").alias("k"), torn.alias("value")).repartition("k").write.partitionBy("k").text(at)
+    k = F.concat(F.col("n_nationkey").cast("string"), F.lit("-"), F.coalesce("part", F.lit(0)).cast("string"))
+    n.select(k.alias("k"), torn.alias("value")).repartition("k").write.partitionBy("k").text(at)
     good, corrupt = landing.read_reports(spark, f"{at}/*/*.txt", "id int, name string, items array<struct<id:long>>")
-    a = good.select(F.col("id").alias("n_nationkey"), F.col("name").alias("n_name"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_suppliers"), F.array_min(F.transform("items", lambda x: x["id"])).alias("first_supplier"), F.lit(False).alias("corrupt"))
+    items = F.transform("items", lambda x: x["id"])
+    a = good.groupBy(F.col("id").alias("n_nationkey"), F.col("name").alias("n_name")).agg(F.sum(F.coalesce(F.size("items"), F.lit(0))).cast("bigint").alias("n_suppliers"), F.min(F.array_min(items)).alias("first_supplier"))
     none = [F.lit(None).cast(t).alias(c) for c, t in (("n_name", "string"), ("n_suppliers", "bigint"), ("first_supplier", "bigint"))]
-    return a.unionByName(corrupt.select(F.regexp_extract("content", "[0-9]+", 0).cast("int").alias("n_nationkey"), *none, F.lit(True).alias("corrupt")))
+    torn = corrupt.select(F.regexp_extract("content", "[0-9]+", 0).cast("int").alias("n_nationkey")).distinct()
+    return a.withColumn("corrupt", F.lit(False)).unionByName(torn.select("n_nationkey", *none, F.lit(True).alias("corrupt")))
 
 
 @query("""select case when c_nationkey % 5 = 0 then 'old_version' when c_nationkey % 5 = 1 then 'corrupt' else 'usable' end as state, count(distinct c_nationkey) as n_files, case when c_nationkey % 5 > 1 then count(*) end as n_items from customer group by c_nationkey % 5 = 0, c_nationkey % 5 = 1, c_nationkey % 5 > 1""")
 def s16_cache_scan(spark, d):
-    """Gzipped caches: of the version asked for, of another, or unreadable."""
-    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_custkey")).alias("items"))
+    """Gzipped caches of at most a thousand keys: of the version asked for, of another, or unreadable."""
+    part = F.floor(F.col("c_custkey") / 1000).alias("part")
+    c = table(spark, d, "customer").groupBy("c_nationkey", part).agg(F.array_sort(F.collect_list("c_custkey")).alias("items"))
     cache = F.to_json(F.struct(F.when(F.col("c_nationkey") % 5 == 0, 1).otherwise(2).alias("version"), F.col("items").alias("items")))
     at = _place(spark, "caches")
-    c.select(F.col("c_nationkey").alias("k"), F.when(F.col("c_nationkey") % 5 == 1, F.lit("{")).otherwise(cache).alias("value")).repartition("k").write.partitionBy("k").option("compression", "gzip").text(at)
+    k = F.concat(F.col("c_nationkey").cast("string"), F.lit("-"), F.col("part").cast("string"))
+    c.select(k.alias("k"), F.when(F.col("c_nationkey") % 5 == 1, F.lit("{")).otherwise(cache).alias("value")).repartition("k").write.partitionBy("k").option("compression", "gzip").text(at)
     held = landing.read_caches(spark, f"{at}/*/*.gz", "items array<long>", version=2)
-    return held.groupBy("state").agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.when(F.col("state") == "usable", F.size("items"))).cast("bigint").alias("n_items"))
+    nation = F.regexp_extract("file", r"/k=(\d+)-", 1)
+    return held.groupBy("state").agg(F.count_distinct(nation).alias("n_files"), F.sum(F.when(F.col("state") == "usable", F.size("items"))).cast("bigint").alias("n_items"))
 
 
 @query("""with t as (select conv_id, turn, role, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '[\\s\\x{00a0}\\x{1c}-\\x{1f}\\x{85}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ' ', 'g')) as w from conversations)
@@ -100,7 +106,7 @@ def s5_ordered_units_scan(spark, d):
     )
     items = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", said.alias("x")))), lambda x: x["x"]), "").alias("x"))
     body = F.concat(F.lit('<tagesordnungspunkt top-id="'), F.col("conv_id").cast("string"), F.lit('">'), F.col("x"), F.lit("</tagesordnungspunkt>"))
-    part = F.pmod(F.xxhash64("conv_id"), F.lit(64))
+    part = F.pmod(F.xxhash64("conv_id"), F.lit(1 + items.count() // 100))  # about a hundred items a file
     files = items.groupBy(part.alias("k")).agg(F.concat(F.lit("<doc>"), F.array_join(F.collect_list(body), ""), F.lit("</doc>")).alias("value"))
     at = _place(spark, "sitting")
     files.repartition("k").write.partitionBy("k").option("lineSep", "\n").text(at)
