@@ -42,6 +42,7 @@ import html as entities
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pandas as pd
@@ -61,6 +62,8 @@ BROADCAST_BYTES = 64 << 20
 PICK_BYTES = 128
 #: Elements nested deeper become siblings.
 MAX_DEPTH = 200
+#: Cells of a table that keeps all its rows.
+CELLS = 4_000_000
 #: Share of the text that must vary between pages before equal texts count as template.
 LEAST_VARYING = 0.5
 #: Share of the different pages in which a template text says the same.
@@ -117,6 +120,7 @@ def parse(page: str) -> Node:
     """The tree of a page; missing end tags are implied as in HTML, stray ones ignored."""
     root = Node("#root")
     stack = [root]
+    skipped: dict[str, int] = {}  # open elements that are too deep to hold anything
     at, end = 0, len(page)
 
     def add_text(raw: str) -> None:
@@ -144,7 +148,12 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
+            if skipped.get(tag):
+                skipped[tag] -= 1
+                continue
             close((tag,), frozenset())
+            if len(stack) < MAX_DEPTH:
+                skipped.clear()
             continue
         if tag in CLOSES_P:
             close(("p",), frozenset(("table", "button", "td", "th")))
@@ -155,7 +164,10 @@ def parse(page: str) -> Node:
         named = not headline and boiler_name(f"{attrs.get('class', '')} {attrs.get('id', '')}")
         node = Node(tag, attrs.get("class", ""), tag in NEVER or attrs.get("role") in ROLES or named)
         stack[-1].children.append(node)
-        if tag in VOID or m[3].endswith("/") or (len(stack) >= MAX_DEPTH and not node.boiler):
+        if tag in VOID or m[3].endswith("/"):
+            continue
+        if len(stack) >= MAX_DEPTH and tag not in RAW and (not node.boiler or stack[-1].boiler):
+            skipped[tag] = skipped.get(tag, 0) + 1
             continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
@@ -165,56 +177,141 @@ def parse(page: str) -> Node:
     return root
 
 
-def _score(a: Node, b: Node, held: dict[tuple[int, int], list[list[int]]]) -> int:
-    """The most nodes that match in order below two nodes of equal tag and class, themselves included; ``held`` keeps the tables."""
-    above = [0] * (len(b.children) + 1)
-    table = [above]
-    for p in a.children:
-        tag, key, leaf = p.tag, p.key, not p.children
-        left, row = 0, [0]
-        for j, q in enumerate(b.children):
-            most = above[j + 1]
-            if left > most:
-                most = left
-            if q.tag == tag and q.key == key:
-                own = above[j] + (1 if leaf or not q.children else _score(p, q, held))
-                if own > most:
-                    most = own
-            left = most
-            row.append(most)
-        table.append(row)
-        above = row
-    held[id(a), id(b)] = table
-    return 1 + above[-1]
+class _Alignment:
+    """Simple tree matching of two trees, by shapes: subtrees of equal tags, classes and children are one shape.
+
+    What two nodes score depends on their shapes only, so it is computed once
+    for a pair of shapes, however many nodes have them; equal shapes score
+    their size. Of two lists of children equal shapes at the end match each
+    other in some best matching, so only what is left between is compared, by
+    a table up to ``CELLS``, beyond by halves in linear memory, with equal
+    shapes at the start matched first.
+    """
+
+    def __init__(self, *roots: Node):
+        self.of: dict[int, int] = {}
+        self.size: list[int] = []
+        self.held: dict[tuple[int, int], int] = {}
+        known: dict[tuple, int] = {}
+        for root in roots:
+            for n in reversed(nodes(root)):
+                shape = (n.tag, n.key, tuple([self.of[id(c)] for c in n.children]))
+                number = known.setdefault(shape, len(self.size))
+                if number == len(self.size):
+                    self.size.append(1 + sum(self.size[c] for c in shape[2]))
+                self.of[id(n)] = number
+
+    def score(self, a: Node, b: Node) -> int:
+        """The most nodes that match in order in two subtrees."""
+        if a.tag != b.tag or a.key != b.key:
+            return 0
+        x, y = self.of[id(a)], self.of[id(b)]
+        if x == y:
+            return self.size[x]
+        if (x, y) not in self.held:
+            self.held[x, y] = 1 + self.best(a.children, b.children)
+        return self.held[x, y]
+
+    def ends(self, xs: list[Node], ys: list[Node]) -> int:
+        """How many children at the end are of equal shape."""
+        n, most = 0, min(len(xs), len(ys))
+        while n < most and self.of[id(xs[-1 - n])] == self.of[id(ys[-1 - n])]:
+            n += 1
+        return n
+
+    def starts(self, xs: list[Node], ys: list[Node]) -> int:
+        n, most = 0, min(len(xs), len(ys))
+        while n < most and self.of[id(xs[n])] == self.of[id(ys[n])]:
+            n += 1
+        return n
+
+    def best(self, xs: list[Node], ys: list[Node]) -> int:
+        total, k = 0, self.ends(xs, ys)
+        if k:
+            total, xs, ys = sum(self.size[self.of[id(x)]] for x in xs[-k:]), xs[:-k], ys[:-k]
+        if k := self.starts(xs, ys):
+            total, xs, ys = total + sum(self.size[self.of[id(x)]] for x in xs[:k]), xs[k:], ys[k:]
+        return total + (self.rows(xs, ys)[-1][-1] if xs and ys else 0)
+
+    def rows(self, xs: list[Node], ys: list[Node], keep: bool = False) -> list[array]:
+        """The last row of the table, or all with ``keep``: the best scores of beginnings of both lists."""
+        shapes = [self.of[id(y)] for y in ys]
+        example = dict(zip(shapes, ys, strict=True))
+        above = array("l", bytes(8 * (len(ys) + 1)))
+        out, weights = [above], {}
+        for x in xs:
+            own = self.of[id(x)]
+            if own not in weights:
+                known = {s: self.score(x, y) for s, y in example.items()}
+                weights[own] = [known[s] for s in shapes] if any(known.values()) else None
+            if weights[own] is not None:
+                row, left, before = array("l", [0]), 0, 0
+                for weight, up in zip(weights[own], above[1:], strict=True):
+                    if up > left:
+                        left = up
+                    if weight and before + weight > left:
+                        left = before + weight
+                    row.append(left)
+                    before = up
+                above = row
+            if keep:
+                out.append(above)
+            else:
+                out = [above]
+        return out
+
+    def pairs(self, xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
+        """The children that match in a best matching; of equals those nearest to the end."""
+        k = self.ends(xs, ys)
+        found = list(zip(xs[len(xs) - k :], ys[len(ys) - k :], strict=True))
+        xs, ys = xs[: len(xs) - k], ys[: len(ys) - k]
+        if len(xs) * len(ys) > CELLS:
+            return found + self.halves(xs, ys)
+        table, i, j = self.rows(xs, ys, True), len(xs), len(ys)
+        while i and j:
+            own = self.score(xs[i - 1], ys[j - 1])
+            if own and table[i][j] == table[i - 1][j - 1] + own:
+                i, j = i - 1, j - 1
+                found.append((xs[i], ys[j]))
+            elif table[i][j] == table[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return found
+
+    def halves(self, xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
+        """A best matching of long lists: the first half of one meets that beginning of the other with which both halves score most."""
+        found, todo = [], [(xs, ys)]
+        while todo:
+            a, b = todo.pop()
+            k = self.starts(a, b)
+            found += zip(a[:k], b[:k], strict=True)
+            a, b = a[k:], b[k:]
+            if not a or not b:
+                continue
+            if len(a) == 1:
+                scores = [self.score(a[0], y) for y in b]
+                if max(scores):
+                    found.append((a[0], b[scores.index(max(scores))]))
+                continue
+            middle = len(a) // 2
+            head, tail = self.rows(a[:middle], b)[-1], self.rows(a[:middle - 1 : -1], b[::-1])[-1]
+            cut = max(range(len(b) + 1), key=lambda n: head[n] + tail[len(b) - n])
+            todo += [(a[:middle], b[:cut]), (a[middle:], b[cut:])]
+        return found
 
 
 def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int:
     """Simple tree matching: the most nodes of ``a`` and ``b`` that match in order; fills ``pairs``."""
     if a.tag != b.tag or a.key != b.key:
         return 0
-    held: dict[tuple[int, int], list[list[int]]] = {}
-    total = _score(a, b, held)
+    own = _Alignment(a, b)
     todo = [(a, b)] if pairs is not None else []
     while todo:
         p, q = todo.pop()
         pairs.append((p, q))
-        table = held.get((id(p), id(q)))
-        if not table:
-            continue
-        i, j = len(p.children), len(q.children)
-        while i and j:
-            x, y = p.children[i - 1], q.children[j - 1]
-            if x.tag == y.tag and x.key == y.key:
-                own = held.get((id(x), id(y)))
-                if table[i][j] == table[i - 1][j - 1] + (1 + own[-1][-1] if own else 1):
-                    todo.append((x, y))
-                    i, j = i - 1, j - 1
-                    continue
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-    return total
+        todo += own.pairs(p.children, q.children)
+    return own.score(a, b)
 
 
 def flat(text: str) -> str:

@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from tallyspan.llm import wrapper
 
@@ -113,3 +116,55 @@ def test_headline_beside_the_slot_belongs_to_it():
     for p in pages:
         head, text = wrapper.main_text(p, made).split("\n")
         assert f"<h1>{head}</h1>" in p and f"<p>{text}</p>" in p
+
+
+def enumerated(a, b):
+    """The most matching nodes, over all ways to match children in order."""
+    if (a.tag, a.key) != (b.tag, b.key):
+        return 0
+
+    def go(i, j):
+        if i == len(a.children) or j == len(b.children):
+            return 0
+        own = enumerated(a.children[i], b.children[j])
+        return max(go(i + 1, j), go(i, j + 1), own + go(i + 1, j + 1) if own else 0)
+
+    return 1 + go(0, 0)
+
+
+@pytest.mark.parametrize("cells", [4_000_000, 0])
+def test_matching_equals_enumeration(monkeypatch, cells):
+    """By tables and by halves."""
+    monkeypatch.setattr(wrapper, "CELLS", cells)
+    rng = random.Random(2)
+
+    def tree(d):
+        n = wrapper.Node(rng.choice("ab") if d < 3 else "r", rng.choice(["", "k"]) if d < 2 else "")
+        if d:
+            n.children = [tree(d - 1) for _ in range(rng.randint(0, 4))]
+        return n
+
+    for _ in range(400):
+        a, b = tree(3), tree(3)
+        pairs = []
+        assert wrapper.match(a, b, pairs) == enumerated(a, b) == len(pairs)
+        for side in zip(*pairs, strict=True):
+            assert len({id(n) for n in side}) == len(pairs)
+
+
+def test_long_pages_on_both_sides_stay_cheap():
+    page = lambda q: "<body><div class=x>" + "".join(f"<p>{q} {i} <b>t</b></p>" if i * q % 7 else f"<p>{i}</p>" for i in range(10_000)) + "</div></body>"
+    a, b = wrapper.parse(page(1)), wrapper.parse(page(3))
+    began, pairs = time.perf_counter(), []
+    assert wrapper.match(a, b, pairs) == len(pairs) > 30_000
+    assert time.perf_counter() - began < 10
+
+
+@pytest.mark.parametrize("tag,text", [("nav", 0), ("div class=ad", 0), ("div", 1), ("section class=cookie", 0)])
+def test_deep_elements_of_any_name(spark, tag, text):
+    body = "some words that are the text of this page " * 5
+    pages = [f"<body><{tag}>" + f"<{tag}>" * 5000 + body + str(n) + f"</{tag.split()[0]}>" * 5001 + f"<p>after {n}</p></body>" for n in range(5)]
+    rows = [(n, "http://h.example.org/", p) for n, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(5):
+        assert (body.strip() in got[n]) == bool(text) and (text or got[n] == f"after {n}")
