@@ -27,7 +27,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tallyspan.plans import aggregates, cases, choices, exchange, facts, joins, projections, quality, recipes, records, releases, resolution, sets, sittings, stores, texts, trees, windows, wrapped  # noqa: F401
+    from tallyspan.plans import aggregates, cases, choices, exchange, facts, joins, projections, quality, recipes, records, releases, resolution, sets, sittings, stores, texts, trees, turns, windows, wrapped  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,15 @@ def read_csv_strict(spark: SparkSession, path: str, schema: str, sep: str = ",")
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path, sep=sep)
 
 
+def read_batch(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``(column)``: the different entries of a tab-separated list with a header; blanks and lines that begin with # are none, other columns are ignored. Fails without the column."""
+    rows = spark.read.option("header", True).option("sep", "\t").csv(path)
+    if column not in rows.columns:
+        raise ValueError(f"{path}: no column {column!r}")
+    entry = F.nullif(F.trim(F.col(column)), F.lit(""))
+    return rows.select(entry.alias(column)).filter(F.col(column).isNotNull() & ~F.col(column).startswith("#")).distinct()
+
+
 def calendar_events(spark: SparkSession, path: str, summary: str) -> DataFrame:
     """``(file, summary, first_day, last_day, week)`` of the all-day events of ICS files whose summary matches.
 

@@ -83,6 +83,25 @@ def links(html: Column | str) -> Column:
     return F.transform(found, lambda x: F.struct(F.regexp_extract(x, '(?is)href="([^"]*)"', 1).alias("href"), plain(x).alias("text")))
 
 
+def entries(html: Column | str, entry_class: str) -> Column:
+    """The markup of each entry of a list page: from an opening tag of that class to the next one or the end."""
+    page = F.col(html) if isinstance(html, str) else html
+    opening = rf'(?i)<[a-z]+[^>]*class="[^"]*\b{entry_class}\b[^"]*"[^>]*>'
+    return F.slice(F.split(page, opening), 2, F.greatest(F.size(F.split(page, opening)) - 1, F.lit(0)))
+
+
+def letters_and_digits(x: Column | str) -> Column:
+    """A title as a key: its letters and digits, whatever their case and what stands between."""
+    return F.lower(F.regexp_replace(F.col(x) if isinstance(x, str) else x, r"[^\p{L}\p{N}]", ""))
+
+
+def sheet_links(pages: DataFrame, html: str, wanted: str) -> DataFrame:
+    """``(day, title, href)`` of the links of pages whose address matches ``wanted`` and whose text begins with a date and a colon."""
+    each = pages.select(F.explode(links(html)).alias("l")).filter(F.col("l.href").rlike(wanted))
+    day, title = F.regexp_extract("l.text", r"^\s*(\d{4}-\d{2}-\d{2})\s*:", 1), F.regexp_extract("l.text", r"(?s)^\s*\d{4}-\d{2}-\d{2}\s*:\s*(.*)$", 1)
+    return each.select(F.nullif(day, F.lit("")).alias("day"), title.alias("title"), F.col("l.href").alias("href")).filter("day is not null")
+
+
 def bounded_scan(listed: DataFrame, date: str, target: Column, budget: int) -> DataFrame:
     """One row on a newest-first list: rows of the target day and how the scan ended (passed the day, list end, or out of budget)."""
     w = Window.orderBy(F.desc(date))  # a landed list page, bounded by the budget
