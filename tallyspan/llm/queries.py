@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm import align, decontam, embed, langid, lm, merkle, oracles, packing, pieces, pii, simhash, toxicity, wrapper
@@ -11,6 +11,11 @@ from tallyspan.llm.common import fold
 from tallyspan.tables import table
 
 
+def held_out(part: int) -> Column:
+    """Whether a document belongs to this fold; one without an id belongs to none."""
+    return F.coalesce(fold() == part, F.lit(False)).alias("held_out")
+
+
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wrapper.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -37,7 +42,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.filter(fold() != 0), labels.filter(fold() != 0))
     found = toxicity.score(docs, model)
     return found.select(
-        "doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_toxic_windows"
+        "doc_id", held_out(0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_toxic_windows"
     )
 
 
@@ -49,7 +54,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = lm.score(docs, fold() != 1)
-    return found.select("doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", held_out(1), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(fold() != 0))
     found = langid.identify(docs, model)
-    return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score", "bits")
+    return found.select("doc_id", held_out(0), "lang_pred", "score", "bits")
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 import pytest
 
 from tallyspan.llm import queries
+from tallyspan.llm.common import fold as fold_column
 from tests.llm.test_lm import tokens
 from tests.llm.test_pii import brute_spans
 from tests.llm.test_pipeline import world
@@ -109,3 +110,9 @@ def test_learning_leaves_held_out_labels_alone(spark, folder, tmp_path):
     for name in ("op4_toxicity", "op10_language_id"):
         one = sorted(map(tuple, queries.QUERIES[name](spark, src).collect()))
         assert one == sorted(map(tuple, queries.QUERIES[name](spark, str(tmp_path)).collect()))
+
+
+def test_a_document_without_an_id_is_held_out_of_no_fold(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,), (3,)], "doc_id long")
+    got = [tuple(r) for r in df.select("doc_id", queries.held_out(0), (fold_column() == 0).alias("plain")).collect()]
+    assert got[0] == (None, False, None) and all(a == b for _, a, b in got[1:])
