@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +28,18 @@ def suppress_twins(rows: DataFrame, key: str, order: list[str], twins: DataFrame
     place = lambda name: rows.select(F.col(key).alias(name), F.struct(*order).alias(f"__{name}"))
     named = twins.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
     edges = materialize(named.join(place("src"), "src").join(place("dst"), "dst").filter("__src < __dst").select("src", "dst"), "twins")
-    gone = []
+    gone: list[DataFrame] = []
     while not edges.isEmpty():
         kept = edges.select("src").distinct().join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_anti")
         dropped = materialize(edges.join(kept, "src").select("dst").distinct(), "twins-dropped")
         gone.append(dropped)
+        if len(gone) > 8:  # the plan stays small, whatever the number of rounds
+            gone = [materialize(reduce(DataFrame.unionByName, gone), "twins-gone")]
         rest = edges.join(kept, "src", "left_anti").join(dropped, "dst", "left_anti")
         edges = materialize(rest.join(dropped.select(F.col("dst").alias("src")), "src", "left_anti"), "twins")
-    for d in gone:
-        rows = rows.join(d.select(F.col("dst").alias(key)), key, "left_anti")
-    return rows
+    if not gone:
+        return rows
+    return rows.join(reduce(DataFrame.unionByName, gone).select(F.col("dst").alias(key)), key, "left_anti")
 
 
 def last_periods(rows: DataFrame, period: str, n: int) -> DataFrame:

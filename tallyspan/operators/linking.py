@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.functions.scalars import titles_match
+from tallyspan.functions.scalars import long_words, normal_title, titles_match
 
 
 def ranked_links(items: DataFrame, votes: DataFrame, item_id: str, vote_id: str, scope: str, evidence: list[tuple[str, str, str]], title: tuple[str, str] | None = None) -> DataFrame:
@@ -24,13 +24,52 @@ def ranked_links(items: DataFrame, votes: DataFrame, item_id: str, vote_id: str,
         found = hit if found is None else found.unionByName(hit)
     best = found.groupBy(scope, vote_id, item_id).agg(F.min_by("basis", "rank").alias("basis"))
     if title:
-        rest = votes.join(best, [scope, vote_id], "left_anti").select(scope, vote_id, F.col(title[1]).alias("vt"))
-        near = rest.join(items.select(scope, item_id, F.col(title[0]).alias("it")), scope).filter(titles_match(F.col("it"), F.col("vt")))
-        one = near.groupBy(scope, vote_id).agg(F.count_distinct(item_id).alias("n"), F.min(item_id).alias(item_id)).filter("n = 1")
+        rest = votes.join(best, [scope, vote_id], "left_anti").select(scope, vote_id, normal_title(title[1]).alias("t"))
+        # items of one heading count together, and titles are matched once each
+        heads = items.groupBy(scope, normal_title(title[0]).alias("h")).agg(F.count_distinct(item_id).alias("n"), F.min(item_id).alias(item_id))
+        pairs = matching_titles(heads.select(scope, "h"), rest.select(scope, "t").distinct(), scope)
+        near = rest.join(pairs, [scope, "t"]).join(heads, [scope, "h"])
+        one = near.groupBy(scope, vote_id).agg(F.sum("n").alias("n"), F.min(item_id).alias(item_id)).filter("n = 1")
         best = best.unionByName(one.select(scope, vote_id, item_id, F.lit("title").alias("basis")))
     return best
 
 
+def _grams(x: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
+    """The different pieces of a text of each size."""
+    of = lambda n: F.when(F.length(x) >= n, F.transform(F.sequence(F.lit(1), F.length(x) - n + 1), lambda i: F.substring(x, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*map(of, sizes)))
+
+
+def _held(long: DataFrame, short: DataFrame, scope: str, a: str, b: str) -> DataFrame:
+    """Pairs that may hold: long texts of a scope that have the rarest piece of a short one."""
+    pieces = long.select(scope, a, F.explode(_grams(F.col(a))).alias("g"))
+    count = pieces.groupBy(scope, "g").agg(F.count(F.lit(1)).alias("n"))
+    whole = F.when(F.length(b) >= 3, _grams(F.col(b), (3,))).otherwise(F.array(F.col(b)))
+    need = short.select(scope, b, F.explode(whole).alias("g")).join(count, [scope, "g"], "left")
+    # a piece that no long text has rules the short one out
+    rarest = need.groupBy(scope, b).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("m")).filter("m.n > 0")
+    return rarest.select(scope, b, F.col("m.g").alias("g")).join(pieces, [scope, "g"]).select(scope, a, b)
+
+
+def matching_titles(heads: DataFrame, titles: DataFrame, scope: str, share: float = 0.65) -> DataFrame:
+    """``(scope, h, t)``: the pairs of different normalised headings and titles of a scope that ``titles_match``.
+
+    A text within another shows the rarest of its pieces there. A heading with
+    the share of a title's long words has one of the title's rarest, as many as
+    may be missing and one more. So only pairs that share something rare are
+    compared, and no matching pair is left out.
+    """
+    heads, titles = heads.filter("h <> ''").distinct(), titles.filter("t <> ''").distinct()
+    words = heads.select(scope, "h", F.explode(long_words(F.col("h"))).alias("w"))
+    count = words.groupBy(scope, "w").agg(F.count(F.lit(1)).alias("n"))
+    own = titles.select(scope, "t", F.size(long_words(F.col("t"))).alias("k"), F.explode(long_words(F.col("t"))).alias("w")).join(count, [scope, "w"], "left")
+    rare = Window.partitionBy(scope, "t").orderBy(F.coalesce("n", F.lit(0)), "w")
+    own = own.withColumn("r", F.row_number().over(rare)).filter(F.col("r") <= F.col("k") - F.ceil(share * F.col("k") - 1e-9) + 1)
+    shared = own.select(scope, "t", "w").join(words, [scope, "w"]).select(scope, "h", "t")
+    maybe = _held(heads, titles, scope, "h", "t").unionByName(_held(titles, heads, scope, "t", "h")).unionByName(shared).distinct()
+    return maybe.filter(titles_match(F.col("h"), F.col("t"), share))
+
+
 def lead_positions(positions: DataFrame, item: str, title: str, order: list[str]) -> DataFrame:
     """``(item, title)``: the title of each item's first position that has one; blank titles are none."""
     named = positions.filter(F.trim(F.coalesce(title, F.lit(""))) != "")

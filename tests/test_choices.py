@@ -86,3 +86,19 @@ def test_all_metrics_together_are_each_by_itself(spark):
     together = {(r.metric_id, r.period): (r.value, r.cited, r.topic, r.n) for r in periods.observe_all({s.metric_id: rows for s in specs}, specs, months).collect()}
     alone = {(s.metric_id, r.period): (r.value, r.cited, r.topic, r.n) for s in specs for r in periods.observe(rows, s, months).collect()}
     assert together == alone and together["c", "m1"][:2] == (2.0, "g") and together["d", "m3"][0] == 0 and together["a", "m2"][0] is None
+
+
+def test_titles_meet_by_what_is_rare_and_none_is_lost(spark):
+    import random
+
+    from tallyspan.functions.scalars import titles_match
+    from tallyspan.operators import linking
+
+    rng = random.Random(7)
+    words = ["haushalt", "steuer", "gesetz", "zur", "der", "und", "bericht", "verkehr", "a", "xy", "änderung", "gesetzentwurf"]
+    say = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(0, 6)))
+    heads = spark.createDataFrame([(rng.randint(1, 3), say()) for _ in range(60)] + [(1, "steuergesetze"), (1, "a"), (2, "xy")], "s int, h string").distinct()
+    titles = spark.createDataFrame([(rng.randint(1, 4), say()) for _ in range(60)] + [(1, "uergesetz"), (1, "xy a"), (2, "y")], "s int, t string").distinct()
+    want = heads.join(titles, "s").filter(titles_match(F.col("h"), F.col("t"))).select("s", "h", "t")
+    got = linking.matching_titles(heads, titles, "s")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
