@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it lets
 through, with their columns; the last returns the packed pieces. ``run``
 writes each stage's result as Parquet in the shared folder and reads it again.
+
+Null and empty texts are clean and without contamination or personal data; all
+of them are copies of each other, so one stays, as an end mark alone. Very long
+texts are read whole by every stage. Ties: of near copies the one with the
+smallest doc_id stays, and one row of those that share it; equal rows are
+otherwise kept as often as they come. Documents without a label train nothing.
+An empty table gives empty stages and no sequence. Columns besides doc_id, text
+and n_chars pass through the first four stages whatever their names.
 """
 
 from __future__ import annotations
