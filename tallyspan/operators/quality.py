@@ -74,13 +74,3 @@ def receipts(observations: DataFrame, rows: DataFrame, on: list[str], order: Col
     w = Window.partitionBy(*on).orderBy(order)
     out = rows.join(observations, on, "left_semi").withColumn("receipt", F.row_number().over(w))
     return out if keep is None else out.filter(F.col("receipt") <= keep)
-
-
-def dependency_closure(features: dict[str, list[str]], vetoed: set[str]) -> dict[str, bool]:
-    """Which features run: one with a vetoed or unknown dependency does not, nor what needs it. A registry is small and stays on the driver."""
-    on = {f: f not in vetoed for f in features}
-    while True:
-        off = [f for f, needs in features.items() if on[f] and not all(on.get(n, False) for n in needs)]
-        if not off:
-            return on
-        on |= dict.fromkeys(off, False)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tallyspan.operators import diffs, identity, quality
+from tallyspan.operators import choices, diffs, identity
 from tallyspan.plans.registry import query
 from tallyspan.session import run_dir
 from tallyspan.sources import landing, markup, sinks
@@ -173,9 +173,10 @@ def k5_feed(spark, d):
 select n_nationkey, n_nationkey not in (select n from down) as runs from nation""")
 def c13_dependency_closure(spark, d):
     """Each nation's feature needs that of the nation five before; some are vetoed, and all that need them fall with them."""
-    keys = sorted(r[0] for r in table(spark, d, "nation").select("n_nationkey").collect())  # 25 rows, a registry
-    on = quality.dependency_closure({str(k): [str(k - 5)] if k - 5 in keys else [] for k in keys}, {str(k) for k in keys if k % 9 == 4})
-    return spark.createDataFrame([(k, on[str(k)]) for k in keys], "n_nationkey int, runs boolean")
+    n, k = table(spark, d, "nation").select("n_nationkey"), F.col("n_nationkey")
+    needs = n.filter(k >= 5).select("n_nationkey", (k - 5).alias("need"))
+    got = choices.feature_states(n, needs, n.filter(k % 9 == 4), "n_nationkey", "need")
+    return got.select("n_nationkey", (F.col("state") == "runs").alias("runs"))
 
 
 @query("select 'fold_evidence' as query, true as same, count(distinct l_partkey) as n from lineitem union all select 'order_counts', true, count(distinct o_custkey) from orders")
