@@ -146,12 +146,22 @@ def first_owner(links: DataFrame, item: str, owner: str, order: list[Column]) ->
     return links.groupBy(item).agg(F.min_by(owner, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias(owner))
 
 
+def extremes(rows: DataFrame, keys: list, value: str) -> DataFrame:
+    """``(keys, value)``: the least and the greatest value of each key, one row if they are the same.
+
+    Enough to tell whether a key has one value or several, so that a join on
+    keys with many values makes at most two rows for each row of the other side.
+    """
+    g = rows.groupBy(*keys).agg(F.min(value).alias("__least"), F.max(value).alias("__most"))
+    return g.withColumn(value, F.explode(F.array_distinct(F.array("__least", "__most")))).drop("__least", "__most")
+
+
 def cascade(rows: DataFrame, key: str, candidates: list[tuple[str, DataFrame]], value: str) -> DataFrame:
     """The value of the first source that gives exactly one, and which source it was."""
     out = rows
     picks, names = [], []
     for name, df in candidates:
-        one = df.groupBy(key).agg(F.count_distinct(value).alias("n"), F.min(value).alias(f"__{name}")).filter("n = 1").drop("n")
+        one = df.groupBy(key).agg(F.min(value).alias(f"__{name}"), F.max(value).alias("__most")).filter(F.col(f"__{name}") == F.col("__most")).drop("__most")
         out = out.join(one, key, "left")
         picks.append(F.col(f"__{name}"))
         names.append(F.when(F.col(f"__{name}").isNotNull(), F.lit(name)))

@@ -163,8 +163,9 @@ n2 as (select o_custkey as c_custkey, min(l_suppkey) as v from orders join linei
 select c.c_custkey, coalesce(n1.v, n2.v) as s_suppkey, case when n1.v is not null then 'nation' when n2.v is not null then 'order' end as source from customer c left join n1 on c.c_custkey = n1.c_custkey left join n2 on c.c_custkey = n2.c_custkey""")
 def s18_lookup_cascade(spark, d):
     c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    same = (F.col("c_nationkey") == F.col("s_nationkey")) & (F.floor(F.col("c_acctbal") / 500) == F.floor(F.col("s_acctbal") / 500))
-    n1 = c.join(s, same).select("c_custkey", "s_suppkey")
+    near = linking.extremes(s, [F.col("s_nationkey").alias("nation"), F.floor(F.col("s_acctbal") / 500).alias("band")], "s_suppkey")
+    same = (F.col("c_nationkey") == F.col("nation")) & (F.floor(F.col("c_acctbal") / 500) == F.col("band"))
+    n1 = c.join(near, same).select("c_custkey", "s_suppkey")
     li = table(spark, d, "lineitem")
     n2 = table(spark, d, "orders").filter("o_orderstatus = 'F'").join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"), F.col("l_suppkey").alias("s_suppkey"))
     return linking.cascade(c.select("c_custkey"), "c_custkey", [("nation", n1), ("order", n2)], "s_suppkey")
