@@ -87,6 +87,26 @@ def test_members_are_partitions_and_torn_ones_are_kept_out(spark, tmp_path):
     assert len(archives._Reader({"archives": f"{tmp_path}/one.zip\n{tmp_path}/two.zip", "record": "M"}).partitions()) == 9
 
 
+def test_many_small_members_share_partitions(spark, tmp_path):
+    for a in range(40):
+        zipped(tmp_path / f"a{a:02}.zip", {f"m{i}.xml": f"<D><M><ID>{a}-{i}</ID></M></D>"[: 12 if i == 3 else None] for i in range(20)})
+    (tmp_path / "no.zip").write_bytes(b"no archive")
+    paths = sorted(tmp_path.glob("*.zip"))
+    options = {"archives": "\n".join(map(str, paths)), "record": "M", "parts": 8}
+    for lengths in ({}, {"lengths": "\n".join(str(p.stat().st_size) for p in paths)}):
+        parts = archives._Reader(options | lengths).partitions()
+        assert 8 <= len(parts) <= 16
+        rows = [r for p in parts for r in archives._Reader(options).read(p)]
+        assert sorted(r[3]["ID"] for r in rows if r[2]) == sorted(f"{a}-{i}" for a in range(40) for i in range(20) if i != 3)
+        assert sum(r[2] is None for r in rows) == 801 and sum(r[5] is not None for r in rows) == 41
+    # a large archive is cut at its members
+    lengths = {"lengths": "\n".join(str(10**9 if p.name == "a00.zip" else 100) for p in paths)}
+    parts = archives._Reader(options | lengths).partitions()
+    assert sum(any(a.endswith("a00.zip") for a, _ in p.items) for p in parts) > 1
+    records, members = archives.read_master_data(spark, str(tmp_path), "M")
+    assert (records.count(), members.count(), members.filter("state = 'torn'").count()) == (40 * 19, 801, 41)
+
+
 @pytest.mark.parametrize("a,b", [("Müller", "MÜLLER"), ("café", "cafe"), ("Straße", "STRASSE")])
 def test_spellings_meet(spark, a, b):
     from pyspark.sql import functions as F
