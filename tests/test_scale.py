@@ -1,6 +1,10 @@
 """Work that must not grow faster than its input."""
 
-from tallyspan.operators import linking
+import re
+
+from pyspark.sql import functions as F
+
+from tallyspan.operators import diffs, linking
 from tallyspan.plans import joins
 
 
@@ -50,3 +54,16 @@ def test_a_band_with_many_suppliers_makes_no_pairs(spark, tmp_path):
 def test_extremes_tell_one_value_from_several(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (2, 3), (2, 4), (2, 9), (3, None)], "k int, v int")
     assert sorted(map(tuple, linking.extremes(df, ["k"], "v").collect()), key=repr) == [(1, 5), (2, 3), (2, 9), (3, None)]
+
+
+def test_inputs_are_dealt_to_as_many_tasks_as_any_shuffle(spark):
+    df = spark.createDataFrame([(i, i % 5) for i in range(100)], "k int, v int")
+    seen = []
+
+    def run(rows):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+
+    got = diffs.order_independent({"q": (run, df, "k")}).collect()
+    assert [tuple(r) for r in got] == [("q", True, 5)]
+    assert len(seen) == 3 and not any(re.search(r"RepartitionByExpression.*, \d+$", p.splitlines()[0]) for p in seen)
