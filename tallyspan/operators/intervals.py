@@ -53,11 +53,26 @@ def overlap_pairs(a: DataFrame, b: DataFrame, keys: list[str], a_id: str, b_id:
     return x.join(y, [*keys, "__b"]).filter("s1 <= e2 and s2 <= e1 and __b = greatest(f1, f2)").select(*keys, "left_id", "right_id")
 
 
-def proved_label(facts: DataFrame, intervals: DataFrame, fact_id: str, key: str, day: str, label: str) -> DataFrame:
-    """The only label that covers a fact's day; null where none or several do, or the key is unknown."""
-    hit = as_of_join(facts.select(fact_id, key, day), intervals.select(key, label, "valid_from", "valid_until"), [key], day)
-    one = hit.groupBy(fact_id).agg(F.count_distinct(label).alias("n"), F.min(label).alias(label)).filter("n = 1").drop("n")
-    return facts.join(one, fact_id, "left")
+def proved_stretches(intervals: DataFrame, key: str, label: str) -> DataFrame:
+    """``(key, label, valid_from, valid_until)``: the stretches of a key that one label only covers; those of a key don't overlap.
+
+    Null labels don't count, and intervals without a day cover nothing.
+    """
+    known = intervals.filter(F.col(label).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_until").isNull() | (F.col("valid_from") < F.col("valid_until"))))
+    own = sweep(known.select(key, label, "valid_from", "valid_until").repartition(key), [key, label]).drop("n")  # dealt once for all steps
+    one = sweep(own, [key]).filter("n = 1").select(F.col(key).alias("__k"), F.col("valid_from").alias("__f"), F.col("valid_until").alias("__u"))
+    # a stretch of one label may hold several pieces, as one label follows another
+    meet = (F.col(key) == F.col("__k")) & (F.col("__u").isNull() | (F.col("valid_from") < F.col("__u"))) & (F.col("valid_until").isNull() | (F.col("__f") < F.col("valid_until")))
+    return own.join(one, meet).select(key, label, F.greatest("valid_from", "__f").alias("valid_from"), F.least("valid_until", "__u").alias("valid_until"))
+
+
+def proved_label(facts: DataFrame, intervals: DataFrame, key: str, day: str, label: str) -> DataFrame:
+    """The only label that covers a fact's day; null where none or several do, or the key is unknown.
+
+    It depends on key and day only, so it is settled among the intervals first
+    and facts are shuffled once, by their key.
+    """
+    return as_of_join(facts, proved_stretches(intervals, key, label), [key], day, how="left").drop("valid_from", "valid_until")
 
 
 def coalesce_intervals(rows: DataFrame, keys: list[str], label: str, start: str = "valid_from", end: str = "valid_until") -> DataFrame:
@@ -122,9 +137,9 @@ def hand_over(rows: DataFrame, keys: list[str], ident: str) -> DataFrame:
 
 def sweep(intervals: DataFrame, keys: list[str], start: str = "valid_from", end: str = "valid_until") -> DataFrame:
     """``(keys, n, valid_from, valid_until)``: how many intervals cover each stretch, run-length compressed, empty stretches left out."""
-    plus = intervals.select(*keys, F.col(start).alias("d"), F.lit(1).alias("s"))
-    minus = intervals.filter(F.col(end).isNotNull()).select(*keys, F.col(end).alias("d"), F.lit(-1).alias("s"))
-    steps = plus.unionByName(minus).groupBy(*keys, "d").agg(F.sum("s").alias("s")).filter("s <> 0")
+    both = F.explode(F.array(F.struct(F.col(start).alias("d"), F.lit(1).alias("s")), F.struct(F.col(end).alias("d"), F.lit(-1).alias("s"))))
+    each = intervals.select(*keys, both.alias("e")).select(*keys, "e.d", "e.s").filter("s = 1 or d is not null")
+    steps = each.groupBy(*keys, "d").agg(F.sum("s").alias("s")).filter("s <> 0")
     w = Window.partitionBy(*keys).orderBy("d")
     level = steps.withColumn("n", F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("valid_until", F.lead("d").over(w))
     checked = level.withColumn("n", F.when(F.col("n") < 0, F.raise_error(F.lit("an interval ends before it starts")).cast("bigint")).otherwise(F.col("n")))

@@ -76,8 +76,8 @@ select f.l_orderkey, f.l_linenumber, f.l_partkey, label from f left join one on
 def j7_proved_label(spark, d):
     o = table(spark, d, "orders")
     h = o.select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("label"), F.col("o_orderdate").cast("date").alias("valid_from"), F.date_add(F.col("o_orderdate").cast("date"), 200).alias("valid_until"))
-    f = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("k"), F.col("l_shipdate").cast("date").alias("day"), F.struct(*B.LINE_ORDER).alias("id"))
-    return intervals.proved_label(f, h, "id", "k", "day", "label").select("l_orderkey", "l_linenumber", "l_partkey", "label")
+    f = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("k"), F.col("l_shipdate").cast("date").alias("day"))
+    return intervals.proved_label(f, h, "k", "day", "label").select("l_orderkey", "l_linenumber", "l_partkey", "label")
 
 
 @query(f"""with {B.EPISODES} select a.o_custkey, count(*) as n from episodes a join episodes b on a.o_custkey = b.o_custkey and a.start <= b.stop and b.start <= a.stop and a.o_orderkey < b.o_orderkey group by 1""")

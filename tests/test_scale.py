@@ -1,10 +1,12 @@
 """Work that must not grow faster than its input."""
 
+import datetime
+import random
 import re
 
 from pyspark.sql import functions as F
 
-from tallyspan.operators import diffs, linking
+from tallyspan.operators import diffs, intervals, linking
 from tallyspan.plans import joins
 
 
@@ -67,3 +69,23 @@ def test_inputs_are_dealt_to_as_many_tasks_as_any_shuffle(spark):
     got = diffs.order_independent({"q": (run, df, "k")}).collect()
     assert [tuple(r) for r in got] == [("q", True, 5)]
     assert len(seen) == 3 and not any(re.search(r"RepartitionByExpression.*, \d+$", p.splitlines()[0]) for p in seen)
+
+
+def test_a_label_proved_by_many_intervals_is_one_row_a_fact(spark):
+    rng = random.Random(3)
+    day = lambda n: None if n is None else datetime.date(2020, 1, 1) + datetime.timedelta(n)
+    spans = [(rng.choice((1, 2, 3, None)), rng.choice(("a", "b", "c", None)), a := rng.choice((None, *range(60))), rng.choice((None, *range((a or 0) - 2, (a or 0) + 9)))) for _ in range(60)]
+    spans += [(9, "a", 0, 5), (9, "b", 5, 9), (9, "b", 7, None), (8, "a", 0, None), (8, None, 0, 9)]
+    facts = [(i, k, n) for i, (k, n) in enumerate((k, n) for k in (1, 2, 3, 7, 8, 9, None) for n in (None, *range(-1, 70)))] + [(0, 9, 6)]
+    h = spark.createDataFrame([(k, v, day(a), day(b)) for k, v, a, b in spans], "k int, label string, valid_from date, valid_until date")
+    f = spark.createDataFrame([(i, k, day(n)) for i, k, n in facts], "i int, k int, day date").repartition(3)
+
+    def want(k, n):
+        on = {v for s, v, a, b in spans if None not in (k, n, v, a) and s == k and a <= n and (b is None or n < b)}
+        return on.pop() if len(on) == 1 else None
+
+    out = intervals.proved_label(f, h, "k", "day", "label")
+    assert sorted(((r.i, r.k, r.day, r.label) for r in out.collect()), key=repr) == sorted(((i, k, day(n), want(k, n)) for i, k, n in facts), key=repr)
+    many = spark.createDataFrame([(1, "a", day(0), day(100))] * 200, h.schema)
+    hot = spark.createDataFrame([(i, 1, day(i % 100)) for i in range(200)], f.schema)
+    assert most_rows(intervals.proved_label(hot, many, "k", "day", "label")) < 1000
