@@ -58,29 +58,35 @@ def list_order(lines: Column) -> Column:
     line's beginning if the line before it ends no clause; otherwise the order
     is lost.
     """
-    number = F.regexp_extract
     entry = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("int").alias("value"))
-    start = F.struct(F.array().cast("array<struct<kind:string,value:int>>").alias("stack"), F.lit(False).alias("lost"), F.lit(True).alias("closed"))
-
-    def step(acc: Column, line: Column) -> Column:
-        digits, letters = number(line, r"^\s*(\d{1,3})\.\s", 1), number(line, r"^\s*([a-z]|([a-z])\2)\)\s", 1)
-        rank = F.ascii(F.substring(letters, 1, 1)) - 96
-        stack = acc["stack"]
+    start = F.struct(F.array().cast("array<struct<kind:string,value:int>>").alias("stack"), F.lit(False).alias("lost"))
+    # a variable of a lambda is computed once, a column that is used twice is computed twice
+    let = lambda value, body: F.get(F.transform(F.array(value), body), 0)
+    marks = F.transform(
+        lines,
+        lambda line, i: F.struct(
+            F.regexp_extract(line, r"^\s*(\d{1,3})\.\s", 1).alias("digits"),
+            F.regexp_extract(line, r"^\s*([a-z]|([a-z])\2)\)\s", 1).alias("letters"),
+            ((i == 0) | F.get(lines, i - 1).rlike(r"[.;:,!?]\s*$")).alias("closed"),
+        ),
+    )
+
+    def label(stack: Column, mark: Column) -> Column:
+        rank, two = F.ascii(F.substring(mark["letters"], 1, 1)) - 96, F.length(mark["letters"]) == 2
         at_z = F.exists(stack, lambda s: (s["kind"] == "letter") & (s["value"] >= 26))
-        label = (
-            F.when(digits != "", entry("number", digits))
-            .when((F.length(letters) == 2) & ~at_z, entry("double", rank))
-            .when(letters != "", entry("letter", rank + F.when(F.length(letters) == 2, 26).otherwise(0)))
-        )
-        place = F.array_position(F.transform(stack, lambda s: s["kind"]), label["kind"]).cast("int")
-        expected = F.when(place > 0, F.get(stack, place - 1)["value"] + 1).otherwise(1)
-        follows = label["value"] == expected
+        return F.when(mark["digits"] != "", entry("number", mark["digits"])).when(two & ~at_z, entry("double", rank)).otherwise(entry("letter", rank + F.when(two, 26).otherwise(0)))
+
+    def placed(stack: Column, own: Column, lost: Column, closed: Column, place: Column) -> Column:
+        follows = own["value"] == F.when(place > 0, F.get(stack, place - 1)["value"] + 1).otherwise(1)
         kept = F.slice(stack, 1, F.when(place > 0, place - 1).otherwise(F.size(stack)))
-        stacked = F.when(follows, F.concat(kept, F.array(label))).otherwise(stack)
-        lost = acc["lost"] | F.coalesce(~follows & acc["closed"], F.lit(False))
-        return F.struct(stacked.alias("stack"), lost.alias("lost"), line.rlike(r"[.;:,!?]\s*$").alias("closed"))
+        return F.struct(F.when(follows, F.concat(kept, F.array(own))).otherwise(stack).alias("stack"), (lost | (~follows & closed)).alias("lost"))
+
+    def step(acc: Column, mark: Column) -> Column:
+        place = lambda own: F.array_position(F.transform(acc["stack"], lambda s: s["kind"]), own["kind"]).cast("int")
+        return let(label(acc["stack"], mark), lambda own: let(place(own), lambda p: placed(acc["stack"], own, acc["lost"], mark["closed"], p)))
 
-    return F.aggregate(lines, start, step, lambda acc: F.when(acc["lost"], "lost").otherwise("kept"))
+    labelled = F.filter(marks, lambda m: (m["digits"] != "") | (m["letters"] != ""))
+    return F.aggregate(labelled, start, step, lambda acc: F.when(acc["lost"], "lost").otherwise("kept"))
 
 
 def passages(texts: DataFrame, key: str, text: str, anchor: str, end: str, known: DataFrame | None = None) -> DataFrame:
