@@ -136,8 +136,8 @@ def groups(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, own
 
 
-def gram_counts(texts: DataFrame, text: str = "text") -> DataFrame:
-    """``(h, n)``: counts of all words (even h) and word pairs (odd h)."""
+def gram_counts(texts: DataFrame, text: str = "text", pairs: bool = True) -> DataFrame:
+    """``(h, n)``: counts of all words (even h) and, unless left out, of all word pairs (odd h)."""
     text_batches(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +152,8 @@ def gram_counts(texts: DataFrame, text: str = "text") -> DataFrame:
         for b in batches:
             for _, own in groups(b.column(0).to_pylist()):
                 tokens, size = hash_tokens(own)
-                held += [tokens, hash_pairs(tokens, size)[1]]
-                n += 2 * len(tokens)
+                held += [tokens, hash_pairs(tokens, size)[1]] if pairs else [tokens]
+                n += (1 + pairs) * len(tokens)
                 if n >= FLUSH_TOKENS:
                     yield flush()
                     n = 0
@@ -399,10 +399,11 @@ def code_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, base_only: bool = False) -> DataFrame:
     """``(key, n_tokens, n_known, train_tokens, base_score, score)``, one row per row of ``docs``.
 
     ``training`` is a table of its own, or a condition on ``docs``, whose texts are then read once less.
+    With ``base_only`` no pairs are counted and no filter is built; ``score`` is null.
     """
     spark = docs.sparkSession
     text_batches(spark)
@@ -412,7 +413,7 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
     kind = source.schema[key].dataType.simpleString()
     if not within:
         source = source.unionAll(columns(training, F.lit(None).cast(kind), F.lit(False), F.lit(True)))
-    counts = materialize(gram_counts(docs.filter(training) if within else training, text).filter("h & 1 = 0 or n > 1"), "lm-counts")
+    counts = materialize(gram_counts(docs.filter(training) if within else training, text, not base_only).filter("h & 1 = 0 or n > 1"), "lm-counts")
     vocab = counts.filter("h & 1 = 0")
     sums = vocab.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds = sums["n"] or 0, sums["v"]
@@ -420,8 +421,8 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
     top = vocab.filter(F.col("n") > floor) if total else vocab.limit(0)  # fewer than FREQUENT tokens can be above it
     common = np.array([(r["h"], r["n"]) for r in top.toLocalIterator()], np.int64).reshape(-1, 2)
     common = common[np.argsort(common[:, 0].view(np.uint64))]
-    parts = filter_parts(counts, max_bits)
-    shared = spark.sparkContext.broadcast((build_filter(counts, max_bits, raise_floors=False) if parts == 1 else None, common))
+    parts = 1 if base_only else filter_parts(counts, max_bits)
+    shared = spark.sparkContext.broadcast((build_filter(counts, max_bits, raise_floors=False) if parts == 1 and not base_only else None, common))
     digest = F.md5(F.coalesce(F.col("__text"), F.lit("")).cast("binary")) if parts > 1 else F.lit(None).cast("string")
     source = source.select(key, "live", "train", digest.alias("digest"), "__text")
     all_tokens = total + 0.5 * (kinds + 1)
@@ -464,7 +465,7 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
     coded = read
     if parts > 1:
         coded = read.drop("codes", "code_times").join(materialize(split_codes(source, counts, max_bits, parts), "lm-codes"), "digest")
-    table = spark.sparkContext.broadcast(code_scores(*code_counts(coded.filter("train")), all_tokens))
+    table = None if base_only else spark.sparkContext.broadcast(code_scores(*code_counts(coded.filter("train")), all_tokens))
     rows = read.filter("live")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,7 +477,10 @@ def score(docs: DataFrame, training: DataFrame | Column, key: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(4)], b.column(6), pa.array(sums)], names=["__rid", key, "n_tokens", "known", "base", "score"])
 
     schema = f"__rid long, `{key}` {kind}, n_tokens long, known long, base double, score double"
-    scored = coded.filter("live").select("__rid", key, "n_tokens", "known", "codes", "code_times", "base").mapInArrow(add, schema)
+    if base_only:
+        scored = rows.select("__rid", key, "n_tokens", "known", "base", F.lit(None).cast("double").alias("score"))
+    else:
+        scored = coded.filter("live").select("__rid", key, "n_tokens", "known", "codes", "code_times", "base").mapInArrow(add, schema)
     each = rows.select("__rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("__rid", F.col("x.rare").alias("h"), F.col("x.times").alias("t"))
     met = each.join(vocab, "h", "left").groupBy("__rid").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("t")).otherwise(0)).alias("more"),

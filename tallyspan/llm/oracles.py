@@ -25,7 +25,7 @@ def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact unigram scores, to four decimals."""
-    found = lm.score(table(spark, sf_dir, "documents"), fold() != 1)
+    found = lm.score(table(spark, sf_dir, "documents"), fold() != 1, base_only=True)
     return found.select("doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
